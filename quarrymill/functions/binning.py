@@ -39,7 +39,7 @@ def cut(c, edges: Sequence[float], right: bool = True, include_lowest: bool = Fa
     if len(names) != len(edges) - 1:
         raise ValueError("one label per interval is needed")
     code = cut_code(c, edges, right, include_lowest)
-    return F.element_at(F.array(*[F.lit(n) for n in names]), code + 1)
+    return F.get(F.array(*[F.lit(n) for n in names]), code)
 
 
 def cut_step(c, step: float, n: int, start: float = 0.0) -> Column:

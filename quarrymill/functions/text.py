@@ -6,7 +6,7 @@ from collections.abc import Mapping
 import re
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from .numeric import as_col
 
@@ -62,7 +62,7 @@ def normalize_ascii(c) -> Column:
     return _letters_only(strip_accents(F.lower(F.trim(as_col(c)))))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def strip_marks(texts: pd.Series) -> pd.Series:
     """Canonical decomposition with all combining marks dropped, for letters outside the fixed table."""
     parts = texts.str.normalize("NFD")
@@ -84,7 +84,7 @@ def to_text(c) -> Column:
     return F.coalesce(F.try_validate_utf8(raw.cast("string")), _decode_ignore(raw.cast("binary")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decode_ignore(raw: pd.Series) -> pd.Series:
     return raw.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
 

@@ -194,11 +194,12 @@ def field_offsets(index: DataFrame) -> DataFrame:
 def split_fields(df: DataFrame, indices: str, offsets: DataFrame) -> DataFrame:
     """Index list cut into one list per field, shifted to start at 0; the field list is read to name the columns."""
     fields = offsets.orderBy("offset").collect()
-    cols = []
-    for f in fields:
-        low, high = f["offset"], f["offset"] + f["size"]
-        inside = F.filter(indices, lambda x, low=low, high=high: (x >= low) & (x < high))
-        cols.append(F.transform(inside, lambda x, low=low: x - low).alias(f["field"]))
+
+    def part(low: int, high: int) -> Column:
+        inside = F.filter(indices, lambda x: (x >= low) & (x < high))
+        return F.transform(inside, lambda x: x - low)
+
+    cols = [part(f["offset"], f["offset"] + f["size"]).alias(f["field"]) for f in fields]
     return df.select(*[c for c in df.columns if c != indices], *cols)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.arrays import cosine
 from ..functions.text import ngrams, tokens
@@ -86,7 +86,7 @@ def bleu_corpus(df: DataFrame, n: int = 4) -> DataFrame:
     return sums.select(*_bleu_columns(n))
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def lcs_lengths(hyp: pd.Series, refs: pd.Series) -> pd.Series:
     """Longest common subsequence with each reference, by bit rows (one wide integer per pair), whole texts."""
 
@@ -225,7 +225,7 @@ def emb_extrema(found: DataFrame) -> DataFrame:
     return _best_over_refs(ends.select("id", "side", pick.alias("v")), "emb_extrema")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _greedy(hyp: pd.Series, hyp_n: pd.Series, ref: pd.Series, ref_n: pd.Series) -> pd.Series:
     def unit_rows(m):
         x = np.stack([np.asarray(v) for v in m])
