@@ -89,8 +89,12 @@ _FNS = {
 }
 
 
-def digits(name: str) -> int:
-    return 7 if name.endswith(("_sum", "_var")) else 8
+def _per_user(c: str):
+    return r(F.sum(c), 3) if c.endswith("_sum") else r(F.avg(c), 5 if c.endswith("_var") else 8)
+
+
+def _per_user_sql(c: str) -> str:
+    return f"round(sum({c}), 3)" if c.endswith("_sum") else f"round(avg({c}), {5 if c.endswith('_var') else 8})"
 
 
 def _flagship_sql():
@@ -102,7 +106,7 @@ def _flagship_sql():
     day, day_cols = stats("day_num")
     band, band_cols = stats("band")
     names = day_cols + band_cols
-    per_user = ", ".join(f"round(avg({n}), {digits(n)}) AS {n}, round(avg(value / ({n} + 1)), 8) AS {n}_neutral" for n in names)
+    per_user = ", ".join(f"{_per_user_sql(n)} AS {n}, round(avg(value / ({n} + 1)), 8) AS {n}_neutral" for n in names)
     return f"""
 WITH b AS (SELECT user_id, value, dense_rank() OVER (ORDER BY CAST(ts AS DATE)) - 1 AS day_num,
   CASE WHEN value > -0.01 AND value <= 0 THEN 0 WHEN value > 0 AND value <= 1 THEN 1 WHEN value > 1 AND value <= 10 THEN 2
@@ -121,4 +125,4 @@ def flagship(spark, d):
     stats = GroupStats(FLAGSHIP_RECIPES, live_key="day_num").fit(rows)
     wide = stats.transform(rows, salt_on=["event_id"])
     features = [c for c in wide.columns if c.startswith(("day_num_", "band_"))]
-    return wide.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), *[r(F.avg(c), digits(c)).alias(c) for c in features])
+    return wide.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), *[_per_user(c).alias(c) for c in features])

@@ -48,25 +48,20 @@ def checkpoint_table(spark, d):
 
 
 @query("a07_annotations", """
-WITH t AS (SELECT conv_id, turn, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt, role FROM conversations),
-q AS (SELECT conv_id, turn, text, nxt FROM t WHERE role = 'user' AND nxt IS NOT NULL)
-SELECT conv_id AS id, 'chat' AS source, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS pos,
-       text AS question, nxt AS answer FROM q""")
+WITH q AS (SELECT a.conv_id * 1000 + a.turn AS id, a.text AS t, b.text AS nxt, c.text AS prv FROM conversations a
+  LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1 LEFT JOIN conversations c ON c.conv_id = a.conv_id AND c.turn = a.turn - 1 WHERE a.role = 'user')
+SELECT id, 'chat' AS source, 0 AS pos, t AS question, coalesce(nxt, prv) AS answer FROM q WHERE nxt IS NOT NULL OR prv IS NOT NULL
+UNION ALL SELECT id, 'chat', 1, t, prv FROM q WHERE nxt IS NOT NULL AND prv IS NOT NULL""")
 def annotations(spark, d):
-    from pyspark.sql import Window as W
-
     conv = load(spark, d, "conversations")
-    # one conversation is one document, so its turns fit a row
-    nxt = F.lead("text").over(W.partitionBy("conv_id").orderBy("turn"))
-    qa = conv.withColumn("nxt", nxt).filter("role = 'user' AND nxt IS NOT NULL")
-    docs = qa.groupBy(F.col("conv_id").alias("id")).agg(
-        F.lit("dialogue").alias("text"),
-        F.transform(F.array_sort(F.collect_list(F.struct("turn", F.col("text").alias("Q"), F.col("nxt").alias("A")))), lambda x: F.struct(x["Q"].alias("Q"), x["A"].alias("A"))).alias("annotations"),
-        F.lit("chat").alias("source"),
-    )
+    after = conv.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("nxt"))
+    before = conv.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("prv"))
+    asked = conv.filter("role = 'user'").join(after, ["conv_id", "turn"], "left").join(before, ["conv_id", "turn"], "left")
+    answers = F.transform(F.array_compact(F.array("nxt", "prv")), lambda a: F.struct(F.col("text").alias("Q"), a.alias("A")))
+    docs = asked.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text"), answers.alias("annotations"), F.lit("chat").alias("source"))
     path = scratch_path(spark, "annotations")
     docs.write.json(path)
-    return R.read_annotations(spark, path).select("id", "source", F.col("pos").cast("long").alias("pos"), "question", "answer")
+    return R.read_annotations(spark, path).select("id", "source", "pos", "question", "answer")
 
 
 @query("a08_pair_lines", """

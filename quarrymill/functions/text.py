@@ -20,6 +20,11 @@ ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
 
 
+def strip(c) -> Column:
+    """Text without white space at both ends."""
+    return F.regexp_replace(as_col(c), "^[ \\t\\n\\r\\f\\x0B]+|[ \\t\\n\\r\\f\\x0B]+$", "")
+
+
 def tokens(c) -> Column:
     """Words between runs of ASCII white space."""
     return F.filter(F.split(as_col(c), SPACE), lambda t: t != "")
@@ -59,7 +64,7 @@ def _letters_only(c: Column) -> Column:
 
 def normalize_ascii(c) -> Column:
     """Lower case, accents stripped, space before sentence marks, all else than letters and marks becomes a space."""
-    return _letters_only(strip_accents(F.lower(F.trim(as_col(c)))))
+    return _letters_only(strip_accents(F.lower(strip(c))))
 
 
 @F.pandas_udf(T.StringType())
@@ -70,7 +75,7 @@ def strip_marks(texts: pd.Series) -> pd.Series:
 
 
 def normalize_ascii_full(c) -> Column:
-    return _letters_only(strip_marks(F.lower(F.trim(as_col(c)))))
+    return _letters_only(strip_marks(F.lower(strip(c))))
 
 
 def half_to_full(c) -> Column:
@@ -81,7 +86,8 @@ def half_to_full(c) -> Column:
 def to_text(c) -> Column:
     """UTF-8 bytes to text; bytes that are not valid are dropped, valid input stays in the JVM."""
     raw = as_col(c)
-    return F.coalesce(F.try_validate_utf8(raw.cast("string")), _decode_ignore(raw.cast("binary")))
+    valid = F.try_validate_utf8(raw.cast("string"))
+    return F.coalesce(valid, _decode_ignore(F.when(valid.isNull(), raw.cast("binary"))))
 
 
 @F.pandas_udf(T.StringType())

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.arrays import keep_tail, pad_right
 from ..functions.hashing import key_uniform
-from ..functions.text import chars, ngrams, tokens, word_tokens
+from ..functions.text import chars, ngrams, strip, tokens, word_tokens
 from ..plans.ordering import row_numbers
 from ..plans.scalars import Scalars
 from ..plans.session import materialise
@@ -67,7 +68,7 @@ def encode_unk(
     """Ids with a marker for unknown tokens, an end marker, right padding and the true length."""
     found = _with_ids(df, key, words, vocab)
     known = found.withColumn("id", F.when(F.col("token").isNotNull(), F.coalesce("id", F.lit(unk))))
-    head = F.array() .cast("array<bigint>") if begin is None else F.array(F.lit(begin).cast("long"))
+    head = F.array().cast("array<bigint>") if begin is None else F.array(F.lit(begin).cast("long"))
     kept = maxlen - 1 - (begin is not None)
     ids = F.concat(head, F.slice("__ids", 1, kept), F.array(F.lit(end).cast("long")))
     return _in_order(known, key).select(key, pad_right(ids, maxlen, pad).alias("ids"), F.size(ids).alias("length"))
@@ -94,8 +95,8 @@ def answer_spans(text: Column, answer: Column) -> tuple[Column, Column]:
 def tag_answer(df: DataFrame, key: Sequence[str], text: str, answer: str, max_len: int, begin="<s>", end="</s>", pad="<pad>"):
     """Rows whose text holds the answer: the last ``max_len - 2`` characters kept, as they are read up to the part that
     fills the length, with begin and end marks, padding and answer marks."""
-    t, a = F.trim(text), F.trim(answer)
-    rows = df.select(*key, t.alias("__t"), a.alias("__a")).filter((F.instr("__t", F.col("__a")) > 0) & (F.col("__a") != ""))
+    t, a = strip(text), strip(answer)
+    rows = df.select(*key, t.alias("__t"), a.alias("__a")).filter(F.instr("__t", F.col("__a")) > 0)
     at, m = F.instr("__t", F.col("__a")), F.char_length("__a")
     # the part after the answer is read only while text and answer do not fill the length
     stop = F.when(at - 1 + m > max_len - 2, at - 1 + m).otherwise(F.char_length("__t"))
@@ -114,13 +115,13 @@ def tag_answer(df: DataFrame, key: Sequence[str], text: str, answer: str, max_le
 
 def encode_question(df: DataFrame, key: Sequence[str], question: str, max_len: int, begin="<s>", end="</s>", pad="<pad>") -> DataFrame:
     """Last ``max_len - 2`` characters of a question between begin and end marks, padded."""
-    seq = F.concat(F.array(F.lit(begin)), keep_tail(chars(F.trim(question)), max_len - 2), F.array(F.lit(end)))
+    seq = F.concat(F.array(F.lit(begin)), keep_tail(chars(strip(question)), max_len - 2), F.array(F.lit(end)))
     return df.select(*key, F.concat(seq, F.array_repeat(F.lit(pad), F.lit(max_len) - F.size(seq))).alias("chars"), F.size(seq).alias("length"))
 
 
 def dropped_answers(df: DataFrame, text: str, answer: str) -> DataFrame:
     """Rows whose answer does not occur in the text, and those that are kept."""
-    hit = F.instr(F.trim(text), F.trim(answer)) > 0
+    hit = F.instr(strip(text), strip(answer)) > 0
     return df.agg(F.count_if(~hit).alias("dropped"), F.count_if(hit).alias("kept"))
 
 
@@ -206,14 +207,14 @@ def entropy_weights(weights: DataFrame, labels: DataFrame, key: str, y: str, smo
     marked = weights.join(labels.select(key, y), key)
     classes = Scalars(labels.select(y).distinct(), n=F.count(F.lit(1)).cast("double"))["n"]
     per_class = marked.groupBy("term", y).agg(F.sum("weight").alias("s"))
-    per_term = per_class.groupBy("term").agg(F.sum("s").alias("total"), F.count(F.lit(1)).alias("seen"), F.collect_list("s").alias("__s"))
+    # -sum p ln p with p = (s + e) / b splits into plain sums over the classes seen and a count of the others
+    raised = F.col("s") + smooth
+    per_term = per_class.groupBy("term").agg(
+        F.sum("s").alias("total"), F.count(F.lit(1)).alias("seen"), F.sum(raised).alias("a"), F.sum(raised * F.ln(raised)).alias("c")
+    )
     bottom = F.col("total") + classes * smooth
-
-    def part(share: Column) -> Column:
-        return -share * F.ln(share)
-
-    seen = F.aggregate("__s", F.lit(0.0), lambda acc, s: acc + part((s + smooth) / bottom))
-    entropy = materialise(per_term.select("term", (seen + (classes - F.col("seen")) * part(F.lit(smooth) / bottom)).alias("entropy")))
+    absent = (classes - F.col("seen")) * (F.lit(smooth) / bottom) * (F.ln(bottom) - math.log(smooth))
+    entropy = materialise(per_term.select("term", ((F.col("a") * F.ln(bottom) - F.col("c")) / bottom + absent).alias("entropy")))
     top = Scalars(entropy, top=F.max("entropy"))["top"]
     return entropy.select("term", "entropy", (top - F.col("entropy") + 0.5).alias("weight_factor"))
 

@@ -116,6 +116,13 @@ def group_share(df: DataFrame, group: str, column: str) -> DataFrame:
     return lookup_join(counts, totals, [group]).select(group, column, "n", (F.col("n") / F.col("__total")).alias("share"))
 
 
+def safe_corr(a: str, b: str) -> Column:
+    """Pearson correlation over the rows where both are present; null when one of them does not vary."""
+    x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
+    y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearson", key: str | None = None, sample: float | None = None):
     """Correlation of column pairs in long form, upper triangle (``a`` before ``b`` in the column order)."""
     cols = list(cols)
@@ -132,7 +139,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearson", key
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
     if len(cols) > PAIRWISE_COLUMNS:
         return _corr_by_vectors(df, cols)
-    one = df.agg(*[F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+    one = df.agg(*[safe_corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
     structs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("corr")) for i, (a, b) in enumerate(pairs)]
     return one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 

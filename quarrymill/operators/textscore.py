@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.arrays import cosine
-from ..functions.text import ngrams, tokens
+from ..functions.text import ngrams, strip, tokens
 from ..plans.scalars import Scalars
 from ..plans.session import materialise
 from ..plans.skew import lookup_join
@@ -23,22 +23,34 @@ METRICS = ("bleu_1", "bleu_2", "bleu_3", "bleu_4", "rouge_l", "cider")
 
 def split_references(df: DataFrame, refs: str) -> DataFrame:
     """Reference lists kept in one delimited string to an array."""
-    return df.withColumn(refs, F.transform(F.split(F.col(refs), DELIMITER.replace("|", r"\|")), F.trim))
+    return df.withColumn(refs, F.transform(F.split(F.col(refs), DELIMITER.replace("|", r"\|")), strip))
 
 
 def pair_streams(hyp: DataFrame, streams: Sequence[DataFrame], key: str, text: str) -> DataFrame:
     """Hypothesis lines and reference streams, aligned by line key, to (id, hyp, refs)."""
-    out = hyp.select(F.col(key).alias("id"), F.trim(text).alias("hyp"))
+    out = hyp.select(F.col(key).alias("id"), strip(text).alias("hyp"))
     for i, s in enumerate(streams):
-        out = out.join(s.select(F.col(key).alias("id"), F.trim(text).alias(f"__r{i}")), "id")
+        out = out.join(s.select(F.col(key).alias("id"), strip(text).alias(f"__r{i}")), "id")
     return out.select("id", "hyp", F.array(*[f"__r{i}" for i in range(len(streams))]).alias("refs"))
 
 
+def read_scored_files(spark, hyp_path: str, ref_paths: Sequence[str]) -> DataFrame:
+    """Hypothesis file and reference files, matched by line number."""
+    from ..sources.readers import number_lines
+
+    return pair_streams(number_lines(spark, hyp_path), [number_lines(spark, p) for p in ref_paths], "line", "value")
+
+
 def gram_counts(df: DataFrame, key: Sequence[str], words: Column, n: int = 4) -> DataFrame:
     """Counts of all n-grams up to ``n`` per key."""
     base = df.select(*key, words.alias("__w"))
-    grams = F.flatten(F.array(*[F.transform(ngrams(F.col("__w"), k), lambda g, k=k: F.struct(F.lit(k).alias("n"), g.alias("gram"))) for k in range(1, n + 1)]))
-    return base.select(*key, F.explode(grams).alias("g")).select(*key, "g.n", "g.gram").groupBy(*key, "n", "gram").agg(F.count(F.lit(1)).alias("c"))
+
+    def of_order(k: int) -> Column:
+        return F.transform(ngrams(F.col("__w"), k), lambda g: F.struct(F.lit(k).alias("n"), g.alias("gram")))
+
+    grams = F.concat(*[of_order(k) for k in range(1, n + 1)])
+    long = base.select(*key, F.explode(grams).alias("g")).select(*key, "g.n", "g.gram")
+    return long.groupBy(*key, "n", "gram").agg(F.count(F.lit(1)).alias("c"))
 
 
 def _refs_long(df: DataFrame) -> DataFrame:

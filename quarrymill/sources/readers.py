@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..plans.ordering import row_numbers
+
 COLUMNAR = {".parquet": "parquet", ".orc": "orc", ".json": "json"}
 REJECTED = {".h5", ".hdf5", ".xlsx", ".xls"}
 
@@ -101,6 +103,17 @@ def pair_lines(df: DataFrame, key: str, text: str, period: int = 2, keep: Sequen
     return rows.select(key, F.explode(F.transform(starts, pick)).alias("p")).select(key, "p.*")
 
 
+def number_lines(spark: SparkSession, path: str, name: str = "line") -> DataFrame:
+    """Text lines with their 1-based number, in file order, whatever way the file was split."""
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__at"),
+        "value",
+    )
+    return row_numbers(raw, ["__file", "__block", "__at"], name=name).select(name, "value")
+
+
 def parse_libsvm(line: Column) -> list[Column]:
     """Label and sparse entries of one ``label idx:val ...`` line."""
     parts = F.split(line, " ")
