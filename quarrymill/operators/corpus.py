@@ -47,13 +47,13 @@ def _positions(df: DataFrame, key: str, words: Column) -> DataFrame:
 
 def _with_ids(df: DataFrame, key: str, words: Column, vocab: DataFrame) -> DataFrame:
     """(key, pos, id) per token; frequent tokens are salted when the vocabulary is too large to broadcast."""
-    return lookup_join(_positions(df, key, words), vocab.select("token", "id"), ["token"], salt_on=[key, "pos"])
+    return lookup_join(_positions(df, key, words), vocab.select("token", F.col("id").alias("__id")), ["token"], salt_on=[key, "pos"])
 
 
 def _in_order(entries: DataFrame, key: str) -> DataFrame:
     """Ids of a row in the order of their positions; entries without an id fall out, the row stays."""
-    pair = F.when(F.col("id").isNotNull(), F.struct("pos", F.col("id").cast("long").alias("id")))
-    return entries.groupBy(key).agg(F.array_sort(F.collect_list(pair))["id"].alias("__ids"))
+    pair = F.when(F.col("__id").isNotNull(), F.struct("pos", F.col("__id").cast("long").alias("v")))
+    return entries.groupBy(key).agg(F.array_sort(F.collect_list(pair))["v"].alias("__ids"))
 
 
 def encode_skip(df: DataFrame, key: str, words: Column, vocab: DataFrame, maxlen: int = 1000, pad: int = 0) -> DataFrame:
@@ -67,7 +67,7 @@ def encode_unk(
 ) -> DataFrame:
     """Ids with a marker for unknown tokens, an end marker, right padding and the true length."""
     found = _with_ids(df, key, words, vocab)
-    known = found.withColumn("id", F.when(F.col("token").isNotNull(), F.coalesce("id", F.lit(unk))))
+    known = found.withColumn("__id", F.when(F.col("token").isNotNull(), F.coalesce("__id", F.lit(unk))))
     head = F.array().cast("array<bigint>") if begin is None else F.array(F.lit(begin).cast("long"))
     kept = maxlen - 1 - (begin is not None)
     ids = F.concat(head, F.slice("__ids", 1, kept), F.array(F.lit(end).cast("long")))
@@ -76,10 +76,10 @@ def encode_unk(
 
 def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame, skip: Sequence[int] = (0, 1, 2, 3), joiner: str = " ") -> DataFrame:
     """Text of an id sequence without the special ids."""
-    long = df.select(key, F.posexplode_outer(ids).alias("pos", "id"))
+    long = df.select(key, F.posexplode_outer(ids).alias("pos", "__id"))
     if skip:
-        long = long.withColumn("id", F.when(~F.col("id").isin(*skip), F.col("id")))
-    found = lookup_join(long, vocab.select("id", "token"), ["id"], salt_on=[key, "pos"])
+        long = long.withColumn("__id", F.when(~F.col("__id").isin(*skip), F.col("__id")))
+    found = lookup_join(long, vocab.select(F.col("id").alias("__id"), "token"), ["__id"], salt_on=[key, "pos"])
     pair = F.when(F.col("token").isNotNull(), F.struct("pos", "token"))
     return found.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(pair))["token"], joiner).alias("text"))
 

@@ -2,7 +2,7 @@
 
 The rows are first reduced to distinct (group, value) pairs. Those are range-partitioned by (group, value), which
 splits a large group over many partitions; each partition keeps a local running sum and receives the total of the
-partitions before it. The range-partitioned table is checkpointed because the partition number becomes data.
+partitions before it. The range-partitioned table is written because the partition number becomes data.
 """
 
 from __future__ import annotations
@@ -11,8 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .session import materialise
-from .skew import is_small, salted_join
+from .session import materialise, plan_size
+from .skew import SURELY_SMALL, is_small, salted_join
+
+PLAIN_WINDOW_BYTES = 8 << 20
 
 
 def running_sums(
@@ -21,6 +23,14 @@ def running_sums(
     """Add ``cum_<m>`` (inclusive, in ``order`` within ``keys``) and ``tot_<m>``; ``order`` must be unique per group."""
     keys = list(keys)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
+    if plan_size(df) <= PLAIN_WINDOW_BYTES:
+        # the input files are so small that no group can be large: a plain window is exact and needs no extra pass
+        upto = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+        return df.select(
+            *df.columns,
+            *[F.sum(m).over(upto).alias(f"cum_{m}") for m in measures],
+            *([F.sum(m).over(W.partitionBy(*keys)).alias(f"tot_{m}") for m in measures] if totals else []),
+        )
     slotted = materialise(
         df.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn("__slot", F.spark_partition_id())
     )
@@ -68,9 +78,10 @@ def rank_table(df: DataFrame, value: str, keys: Sequence[str] = (), descending:
 def attach_ranks(df, value, keys=(), columns=("rank_avg", "total"), descending=False, salt_on=None) -> DataFrame:
     """Ranks of ``value`` within ``keys`` on every row (null where the value is null)."""
     on = [*keys, value]
-    table = materialise(rank_table(df, value, keys, descending))
+    table = rank_table(df, value, keys, descending)
+    table = table if plan_size(table) <= SURELY_SMALL else materialise(table)
     wanted = table.select(*on, *columns)
-    if is_small(wanted):
+    if is_small(table):
         return df.join(F.broadcast(wanted), on, "left")
     return salted_join(df, wanted, on, "left", salt_on, table.select(*on, "n"))
 

@@ -1,4 +1,4 @@
-"""Session defaults, the shared scratch folder and lineage cuts."""
+"""Session defaults, the shared scratch folder, lineage cuts and sizes."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -21,7 +21,6 @@ def build_session(app: str = "quarrymill", cores: int | str = "*", shuffle_parti
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -48,12 +47,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _width(field: T.StructField):
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(field.dataType, T.ArrayType):
+        return F.greatest(F.size(column), F.lit(0)) * 16 + 16
+    return F.lit(16)
+
+
+def size_metrics(df: DataFrame) -> list:
+    """Aggregates for the number of rows and about how many bytes they take in memory."""
+    width = sum((_width(f) for f in df.schema.fields), F.lit(0)).cast("long")
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so that a lost executor cannot change what is read back."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Cut the lineage: write the rows to the shared folder once and read them back, so that a lost executor cannot
+    change what later steps see."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def plan_size(df: DataFrame) -> int:
+    """Catalyst's size estimate of a frame, from the sizes of the files it reads: no job runs. Aggregates and filters
+    count as large as their input and joins as the product, so the estimate errs to the large side."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:
+        return 1 << 62
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a frame, counted once per frame object."""
+    known = getattr(df, "_measured", None)
+    if known is None:
+        found = df.agg(*size_metrics(df)).first()
+        known = df._measured = (found["rows"], found["bytes"])
+    return known
 
 
 def tables(spark: SparkSession, folder: str, *names: str):

@@ -10,30 +10,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from .scalars import Scalars
-from .session import materialise
+from .session import materialise, measure, plan_size
 
 HOT_SHARE = 1 / 1000
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
+# tables whose input files are below this are broadcast without counting them
+SURELY_SMALL = 1 << 20
 
 
-def _width(field: T.StructField):
-    name = f"`{field.name}`"
-    if isinstance(field.dataType, T.StringType):
-        return F.coalesce(F.octet_length(F.col(name)), F.lit(0)) + 16
-    if isinstance(field.dataType, T.ArrayType):
-        return F.greatest(F.size(F.col(name)), F.lit(0)) * 16 + 16
-    return F.lit(16)
-
-
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measure rows and bytes of a frame; call it on materialised frames, for it runs a job."""
-    width = sum((_width(f) for f in df.schema.fields), F.lit(0)).cast("long")
-    found = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
-    return found["n"] <= rows and found["b"] <= size
+def is_small(df: DataFrame) -> bool:
+    """Whether a frame is within the broadcast limits: by the files behind it, else by counting rows and bytes."""
+    if plan_size(df) <= SURELY_SMALL:
+        return True
+    found = measure(df)
+    return found[0] <= BROADCAST_ROWS and found[1] <= BROADCAST_BYTES
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], n: str = "n", share: float = HOT_SHARE) -> DataFrame:
@@ -49,6 +43,7 @@ def salted_join(left, right, keys, how="left", salt_on=None, counts=None, n="n")
     ``counts`` may pass ready counts per key of ``left`` (columns ``keys`` and ``n``)."""
     keys = list(keys)
     if counts is None:
+        n = "__count"
         counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
     hot = F.broadcast(materialise(hot_keys(counts, keys, n)).toDF(*[f"__hot_{k}" for k in keys], "__salts"))
 
@@ -68,7 +63,7 @@ def salted_join(left, right, keys, how="left", salt_on=None, counts=None, n="n")
 
 def lookup_join(left, right, keys, how="left", salt_on=None, counts=None, n="n", ready=False) -> DataFrame:
     """Bring the columns of a lookup table (unique on ``keys``) to every row of ``left``."""
-    table = right if ready else materialise(right)
+    table = right if ready or plan_size(right) <= SURELY_SMALL else materialise(right)
     if is_small(table):
         return left.join(F.broadcast(table), list(keys), how)
     return salted_join(left, table, keys, how, salt_on, counts, n)
@@ -80,7 +75,7 @@ def attach_groups(df, keys, how="left", salt_on=None, **aggs) -> DataFrame:
     groups = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__rows"), *[agg.alias(name) for name, agg in aggs.items()]
     )
-    groups = materialise(groups)
+    groups = groups if plan_size(groups) <= SURELY_SMALL else materialise(groups)
     if is_small(groups):
         return df.join(F.broadcast(groups.drop("__rows")), keys, how)
     counts = groups.select(*keys, F.col("__rows").alias("n"))
