@@ -89,12 +89,16 @@ _FNS = {
 }
 
 
+# Statistics with few decimals are summed per user and the others averaged, so that both engines round alike.
+_SUMMED = ("_sum", "_median", "_range")
+
+
 def _per_user(c: str):
-    return r(F.sum(c), 3) if c.endswith("_sum") else r(F.avg(c), 5 if c.endswith("_var") else 8)
+    return r(F.sum(c), 6) if c.endswith(_SUMMED) else r(F.avg(c), 5 if c.endswith("_var") else 8)
 
 
 def _per_user_sql(c: str) -> str:
-    return f"round(sum({c}), 3)" if c.endswith("_sum") else f"round(avg({c}), {5 if c.endswith('_var') else 8})"
+    return f"round(sum({c}), 6)" if c.endswith(_SUMMED) else f"round(avg({c}), {5 if c.endswith('_var') else 8})"
 
 
 def _flagship_sql():

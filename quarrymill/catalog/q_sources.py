@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators.encoding import build_feature_index, encode_rows, field_offsets
+from ..plans.scalars import Scalars
 from ..plans.session import scratch_path
 from ..sources import pages as P
 from ..sources import readers as R
@@ -107,7 +108,7 @@ def libsvm_write(spark, d):
     rows = encode_rows(orders, "o_orderkey", index, FIELDS).join(orders, "o_orderkey")
     path = S.write_libsvm(rows.withColumn("label", (F.col("o_orderstatus") == "F").cast("int")), scratch_path(spark, "libsvm"), "label", "indices")
     lines = spark.read.text(path).withColumnRenamed("value", "line")
-    return lines.join(F.broadcast(lines.agg(F.count(F.lit(1)).alias("total"))), F.lit(True))
+    return lines.withColumn("total", Scalars(lines, n=F.count(F.lit(1)))["n"])
 
 
 @query("a10_libsvm_read", LIBSVM_SQL + """

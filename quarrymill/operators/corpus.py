@@ -12,7 +12,7 @@ from ..functions.hashing import key_uniform
 from ..functions.text import chars, ngrams, strip, tokens, word_tokens
 from ..plans.ordering import row_numbers
 from ..plans.scalars import Scalars
-from ..plans.session import materialise
+from ..plans.session import materialise, spread
 from ..plans.skew import attach_groups, lookup_join
 
 # Special tokens in id order
@@ -21,7 +21,7 @@ SPECIALS = ("<pad>", "<unk>", "<s>", "</s>")
 
 def term_counts(df: DataFrame, words: Column) -> DataFrame:
     """Occurrences of each token over the corpus."""
-    return df.select(F.explode(words).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return spread(df).select(F.explode(words).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def build_vocab(
@@ -42,7 +42,7 @@ def build_vocab(
 
 
 def _positions(df: DataFrame, key: str, words: Column) -> DataFrame:
-    return df.select(key, F.posexplode_outer(words).alias("pos", "token"))
+    return spread(df, key).select(key, F.posexplode_outer(words).alias("pos", "token"))
 
 
 def _with_ids(df: DataFrame, key: str, words: Column, vocab: DataFrame) -> DataFrame:
@@ -180,7 +180,7 @@ def tfidf(
     words = word_tokens(text)
     if stop_words:
         words = F.filter(words, lambda w: ~w.isin(*stop_words))
-    base = df.select(key, words.alias("__w"))
+    base = spread(df, key).select(key, words.alias("__w"))
     low, high = ngram_range
     grams = F.flatten(F.array(*[ngrams(F.col("__w"), n) for n in range(low, high + 1)]))
     tf = base.select(key, F.explode(grams).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -229,7 +229,7 @@ def cooccurrence(df: DataFrame, key: str, words: Column, window: int = 15, min_c
 
     Each position meets only its next ``window`` kept tokens inside its own row; pairs are summed before the shuffle.
     """
-    long = df.select(key, F.posexplode(words).alias("pos", "token"))
+    long = spread(df, key).select(key, F.posexplode(words).alias("pos", "token"))
     counted = attach_groups(long, ["token"], salt_on=[key, "pos"], __n=F.count(F.lit(1)))
     kept = counted.filter(F.col("__n") >= min_count)
     lists = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "token")))["token"].alias("w"))

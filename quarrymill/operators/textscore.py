@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.arrays import cosine
 from ..functions.text import ngrams, strip, tokens
 from ..plans.scalars import Scalars
-from ..plans.session import materialise
+from ..plans.session import materialise, settle, spread
 from ..plans.skew import lookup_join
 
 # Fixed values
@@ -43,7 +43,7 @@ def read_scored_files(spark, hyp_path: str, ref_paths: Sequence[str]) -> DataFra
 
 def gram_counts(df: DataFrame, key: Sequence[str], words: Column, n: int = 4) -> DataFrame:
     """Counts of all n-grams up to ``n`` per key."""
-    base = df.select(*key, words.alias("__w"))
+    base = spread(df, *key).select(*key, words.alias("__w"))
 
     def of_order(k: int) -> Column:
         return F.transform(ngrams(F.col("__w"), k), lambda g: F.struct(F.lit(k).alias("n"), g.alias("gram")))
@@ -61,6 +61,7 @@ def clipped_matches(df: DataFrame, n: int = 4) -> DataFrame:
     """Per row and order: n-grams of the hypothesis matched in the references, each at most as often as in one of them.
 
     Both sides enter one aggregate per (row, n-gram), so no join is needed."""
+    df = settle(df)
     hyp = gram_counts(df, ["id"], tokens("hyp"), n).select("id", "n", "gram", F.col("c").alias("h"), F.lit(0).cast("long").alias("m"))
     refs = gram_counts(_refs_long(df), ["id", "r"], tokens("ref"), n).select("id", "n", "gram", F.lit(0).cast("long").alias("h"), F.col("c").alias("m"))
     both = hyp.unionByName(refs).groupBy("id", "n", "gram").agg(F.max("h").alias("h"), F.max("m").alias("m"))
@@ -69,6 +70,7 @@ def clipped_matches(df: DataFrame, n: int = 4) -> DataFrame:
 
 def bleu_parts(df: DataFrame, n: int = 4) -> DataFrame:
     """Per row: hypothesis length, closest reference length (the shorter one on ties), guesses and matches per order."""
+    df = settle(df)
     length = F.size(tokens("hyp"))
     sizes = F.transform("refs", lambda r: F.size(tokens(r)))
     closest = F.array_min(F.transform(sizes, lambda s: F.struct(F.abs(s - length).alias("d"), s.alias("l"))))["l"]
@@ -131,6 +133,7 @@ def rouge_l(df: DataFrame) -> DataFrame:
 def cider(df: DataFrame, n: int = 4, sigma: float = 6.0) -> DataFrame:
     """Consensus score: clipped cosine of tf-idf n-gram vectors with a length penalty, mean over orders and references,
     times 10. Document frequency counts the rows whose references hold the n-gram."""
+    df = settle(df)
     hyp = gram_counts(df, ["id"], tokens("hyp"), n)
     refs = gram_counts(_refs_long(df), ["id", "r"], tokens("ref"), n)
     hyp, refs = materialise(hyp), materialise(refs)
@@ -178,7 +181,7 @@ def omitted(omit: Sequence[str], names: Sequence[str] = METRICS) -> list[str]:
 def evaluate(df: DataFrame, omit: Sequence[str] = ()) -> DataFrame:
     """One row of corpus scores."""
     names = omitted(omit)
-    df = materialise(df)
+    df = settle(df)
     parts = []
     if any(m.startswith("bleu") for m in names):
         order = max(int(m.split("_")[1]) for m in names if m.startswith("bleu"))

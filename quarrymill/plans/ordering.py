@@ -46,7 +46,12 @@ def running_sums(
     )
     local = W.partitionBy(*keys, "__slot").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     inner = slotted.select("*", *[F.sum(m).over(local).alias(f"__c_{m}") for m in measures])
-    out = inner.join(offsets, [*keys, "__slot"])
+    # null keys form a group of their own, so the match is null-safe
+    offsets = offsets.withColumnsRenamed({k: f"__k_{i}" for i, k in enumerate(keys)} | {"__slot": "__from"})
+    match = F.col("__slot") == F.col("__from")
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"__k_{i}"))
+    out = inner.join(offsets, match)
     return out.select(
         *df.columns,
         *[(F.col(f"__c_{m}") + F.col(f"__o_{m}")).alias(f"cum_{m}") for m in measures],

@@ -67,7 +67,14 @@ def materialise(df: DataFrame) -> DataFrame:
     change what later steps see."""
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = True
+    return out
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a frame that is about to be read several times, unless it comes straight from ``materialise``."""
+    return df if getattr(df, "_written", False) else materialise(df)
 
 
 def plan_size(df: DataFrame) -> int:
@@ -79,6 +86,18 @@ def plan_size(df: DataFrame) -> int:
         return 1 << 62
 
 
+SPLIT_BYTES = 128 << 20
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Even out rows ahead of heavy work per row when the files are too few or too small to occupy all cores. A table
+    that fills at least one full split per core is left as it is, so large scans are never shuffled for this."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if plan_size(df) >= cores * SPLIT_BYTES:
+        return df
+    return df.repartition(cores, *(keys or df.columns))
+
+
 def measure(df: DataFrame) -> tuple[int, int]:
     """Rows and bytes of a frame, counted once per frame object."""
     known = getattr(df, "_measured", None)

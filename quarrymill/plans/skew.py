@@ -16,7 +16,7 @@ from .scalars import Scalars
 from .session import materialise, measure, plan_size
 
 HOT_SHARE = 1 / 1000
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 # tables whose input files are below this are broadcast without counting them
 SURELY_SMALL = 1 << 20

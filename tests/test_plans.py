@@ -48,6 +48,12 @@ def test_quantiles_match_percentile(rows, big):
     assert as_set(got) == as_set(want)
 
 
+def test_row_numbers_keep_null_groups(spark, big):
+    df = spark.createDataFrame([(i, None if i < 4 else "a") for i in range(9)], "id long, k string")
+    got = row_numbers(df, ["id"], ["k"], name="i")
+    assert sorted((r["id"], r["i"]) for r in got.collect()) == [(0, 1), (1, 2), (2, 3), (3, 4), (4, 1), (5, 2), (6, 3), (7, 4), (8, 5)]
+
+
 def test_quantiles_skip_nulls_and_null_keys(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 4.0), (None, 9.0)], "k string, v double")
     assert as_set(group_quantiles(df, "v", {"m": 0.5}, ["k"])) == [("a", 2.5)]
