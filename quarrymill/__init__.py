@@ -1 +1,8 @@
 """Feature engineering, profiling, text preparation, scoring and blending over Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions sent to executors carry their code, so the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
