@@ -137,7 +137,7 @@ def knn_classify(train: DataFrame, test: DataFrame, key: str, vector: str, y: st
 
 def edited_neighbors(df: DataFrame, key: str, vector: str, y: str, k: int = 3, repeats: int = 1, rule: str = "mode") -> DataFrame:
     """Drop rows that their k neighbours contradict: by majority (``mode``) or when any of them differs (``all``).
-    Rows of the smallest class are kept. Stops early when a pass drops nothing or a class would vanish."""
+    Rows of the smallest class are kept. The repeated form stops when a pass drops nothing or a class would vanish."""
     rows = df
     for _ in range(repeats):
         sizes = rows.groupBy(y).agg(F.count(F.lit(1)).alias("n"))
@@ -152,7 +152,7 @@ def edited_neighbors(df: DataFrame, key: str, vector: str, y: str, k: int = 3, r
         if bad.isEmpty():
             break
         kept = materialise(rows.join(bad, key, "left_anti"))
-        if kept.select(y).distinct().count() < sizes.count():
+        if repeats > 1 and kept.select(y).distinct().count() < sizes.count():
             break
         rows = kept
     return rows
