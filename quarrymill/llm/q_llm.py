@@ -58,3 +58,10 @@ def op10(spark, d):
     out = dedup_lines(tables(spark, d, "documents").select("doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op4_ngram_jaccard")
+def op4(spark, d):
+    from .jaccard_join import near_duplicates
+
+    return near_duplicates(tables(spark, d, "documents"))
