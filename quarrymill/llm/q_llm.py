@@ -65,3 +65,29 @@ def op4(spark, d):
     from .jaccard_join import near_duplicates
 
     return near_duplicates(tables(spark, d, "documents"))
+
+
+@query("op1_best_fit_packing")
+def op1(spark, d):
+    from .packing import count_tokens, pack_lengths
+
+    return pack_lengths(count_tokens(tables(spark, d, "documents").select("doc_id", "text")), "doc_id", "n_tokens")
+
+
+@query("op2_quality_classifier")
+def op2(spark, d):
+    from .exprs import crc_mod
+    from .quality_pu import score_quality
+
+    docs, labels = tables(spark, d, "documents", "labels")
+    out = score_quality(docs, labels, crc_mod(F.col("doc_id"), 3) != 1)
+    held = (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out")
+    return out.select("doc_id", held, "score", "predicted")
+
+
+@query("op3_html_extraction")
+def op3(spark, d):
+    from .html_text import extract_text
+
+    out = extract_text(tables(spark, d, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
