@@ -91,3 +91,13 @@ def op3(spark, d):
 
     out = extract_text(tables(spark, d, "pages").select("page_id", "url", "html"))
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op7_lm_score")
+def op7(spark, d):
+    from .exprs import crc_mod
+    from .lm_score import score_texts
+
+    held = crc_mod(F.col("doc_id"), 7) == 2
+    out = score_texts(tables(spark, d, "documents"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
