@@ -101,3 +101,17 @@ def op7(spark, d):
     held = crc_mod(F.col("doc_id"), 7) == 2
     out = score_texts(tables(spark, d, "documents"), ~held)
     return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op5_ann_search")
+def op5(spark, d):
+    from .ann_search import nearest
+
+    return nearest(tables(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op8_embedding_dedup")
+def op8(spark, d):
+    from .cap_filters import near_vectors
+
+    return near_vectors(tables(spark, d, "embeddings"))
