@@ -5,8 +5,8 @@ p the class prior and the squared loss, the unbiased risk is
 
     p E_pos[l(g) - l(-g)] + E_unl[l(-g)],   l(z) = (1 - z)^2 / 4,
 
-its part for negatives, E_unl[l(-g)] - p E_pos[l(-g)], must not fall below zero (the non-negative form); here the ridge is
-raised until it does not. Texts are described by shares of characters, words and lines, binned at quantiles of the unlabelled
+its part for negatives, E_unl[l(-g)] - p E_pos[l(-g)], must not fall below zero (the non-negative form); here the ridge, chosen
+by cross-validation of the risk, is raised until it does not. Texts are described by shares of characters, words and lines, binned at quantiles of the unlabelled
 texts; g is linear in the bins, so its risk depends on the data by second moments only: one pass over all texts gathers them,
 whatever their number, and the driver solves a system of some hundred unknowns. The prior is the smallest ratio of
 unlabelled to positive mass among high scores, from a histogram over all texts.
@@ -27,6 +27,8 @@ FEATURES = [
     "line_ends", "line_words", "bars", "size", "pairs",
 ]
 BINS = 12
+RIDGES = tuple(10 ** (-k / 2) for k in range(9))
+FOLDS = 3
 CELLS = 400  # cells of the score histogram for the prior
 
 _KIND = np.zeros(256, "u1")  # 0 other, 1 letter, 2 digit, 3 white space, 4 plain punctuation, 5 other mark
@@ -96,9 +98,12 @@ def describe(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def text_features(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns ``keep`` and one double per feature, named f0, f1 and so on."""
+    """Columns ``keep`` (the text may be among them) and one double per feature, named f0, f1 and so on."""
     import pyarrow as pa
 
+    read = keep if text in keep else [*keep, text]
+    at = read.index(text)
+
     names = [f"f{i}" for i in range(len(FEATURES))]
     schema = docs.select(*keep).schema
     for name in names:
@@ -106,21 +111,21 @@ def text_features(docs: DataFrame, keep: list[str], text: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = buffers(batch.column(len(keep)))
+            data, offsets = buffers(batch.column(at))
             for first, last in slices(offsets):
                 o = offsets[first : last + 1]
                 x = describe(data[o[0] : o[-1]], o - o[0])
                 cols = [batch.column(i).slice(first, last - first) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cols, *[pa.array(c) for c in x.T]], names=[*keep, *names])
 
-    return docs.select(*keep, text).mapInArrow(run, schema)
+    return docs.select(*read).mapInArrow(run, schema)
 
 
 class PuClassifier:
     """Bin edges, weights and prior; ``fit`` learns them, ``score`` applies them."""
 
-    def __init__(self, ridge: float = 1e-3, bins: int = BINS):
-        self.ridge, self.bins = ridge, bins
+    def __init__(self, ridges: tuple[float, ...] = RIDGES, bins: int = BINS):
+        self.ridges, self.bins = ridges, bins
         self.edges: list[list[float]] = []
         self.weights: np.ndarray | None = None
         self.prior: float | None = None
@@ -146,35 +151,57 @@ class PuClassifier:
         width = 1 + sum(len(e) + 1 for e in self.edges)
 
         def moments(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros((2, width + 1, width))
+            total = np.zeros((FOLDS, 2, width + 1, width))
             for part in parts:
                 z = self._basis(part[names].to_numpy())
-                for k, x in enumerate((z, z[part["positive"].to_numpy()])):
-                    total[k, :width] += x.T @ x
-                    total[k, width, 0] += len(x)
+                fold, positive = part["fold"].to_numpy(), part["positive"].to_numpy()
+                for i in range(FOLDS):
+                    for k, x in enumerate((z[fold == i], z[(fold == i) & positive])):
+                        total[i, k, :width] += x.T @ x
+                        total[i, k, width, 0] += len(x)
             flat = total.ravel()
             at = np.flatnonzero(flat)
             yield pd.DataFrame({"cell": at, "value": flat[at]})
 
-        sums = rows.select(*names, "positive").mapInPandas(moments, "cell long, value double")
+        # folds by the features, so equal texts are in one fold
+        fold = F.pmod(F.xxhash64(*names), F.lit(FOLDS)).cast("int").alias("fold")
+        sums = rows.select(*names, "positive", fold).mapInPandas(moments, "cell long, value double")
         got = sums.groupBy("cell").agg(F.sum("value").alias("value")).toPandas()
-        total = np.zeros(2 * (width + 1) * width)
+        total = np.zeros(FOLDS * 2 * (width + 1) * width)
         total[got["cell"].to_numpy()] = got["value"].to_numpy()
-        total = total.reshape(2, width + 1, width)
-        second = total[:, :width] / np.maximum(total[:, width, 0], 1)[:, None, None]
-        self._solve(second, 0.5)
+        total = total.reshape(FOLDS, 2, width + 1, width)
+        self._solve(total, 0.5)
         self.prior = self._estimate(rows, names)
-        self._solve(second, self.prior)
+        self._solve(total, self.prior)
         return self
 
-    def _solve(self, second: np.ndarray, prior: float) -> None:
-        """Least risk for a prior; the bias is the first unknown, so column 0 of the moments holds the means."""
-        unl, pos = second
-        ridge = self.ridge
+    @staticmethod
+    def _means(total: np.ndarray) -> np.ndarray:
+        """Second moments of the unlabelled and of the positives; the bias is the first unknown, so row 0 holds the means."""
+        width = total.shape[2]
+        return total[:, :width] / np.maximum(total[:, width, 0], 1)[:, None, None]
+
+    @staticmethod
+    def _least(unl: np.ndarray, pos: np.ndarray, prior: float, ridge: float) -> np.ndarray:
+        shrink = ridge * np.eye(len(unl))
+        shrink[0, 0] = 1e-9  # the bias is free
+        return np.linalg.solve(unl + shrink, 2 * prior * pos[0] - unl[0])
+
+    def _solve(self, total: np.ndarray, prior: float) -> None:
+        risk = {}
+        for ridge in self.ridges:
+            held = []
+            for i in range(FOLDS):
+                unl, pos = self._means(total.sum(0) - total[i])
+                w = self._least(unl, pos, prior, ridge)
+                unl, pos = self._means(total[i])
+                held.append(-prior * w @ pos[0] + (1 + 2 * w @ unl[0] + w @ unl @ w) / 4)
+            risk[ridge] = float(np.mean(held))
+        ridge = min(risk, key=lambda r: (risk[r], -r))
+        unl, pos = self._means(total.sum(0))
         for _ in range(12):
-            w = np.linalg.solve(unl + ridge * np.eye(len(unl)), 2 * prior * pos[:, 0] - unl[:, 0])
-            loss = lambda m: (1 + 2 * w @ m[:, 0] + w @ m @ w) / 4  # noqa: E731  of -g
-            self.weights = w
+            w = self.weights = self._least(unl, pos, prior, ridge)
+            loss = lambda m: (1 + 2 * w @ m[0] + w @ m @ w) / 4  # noqa: E731  of -g
             if loss(unl) - prior * loss(pos) >= 0:
                 break
             ridge *= 4
@@ -208,6 +235,14 @@ class PuClassifier:
         return F.least(F.greatest(self._score_column(names), F.lit(0.0)), F.lit(1.0))
 
 
+def fit_quality(docs: DataFrame, labels: DataFrame, trainable: Column) -> tuple[PuClassifier, DataFrame]:
+    """The classifier learned from rows where ``trainable`` holds, and the features of all rows, written once."""
+    trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1").select(F.col("doc_id").alias("__good"))
+    rows = materialise(text_features(docs.select("doc_id", "text"), ["doc_id"]))
+    train = rows.filter(trainable).join(trusted, F.col("doc_id") == F.col("__good"), "left")
+    return PuClassifier().fit(train.withColumn("positive", F.col("__good").isNotNull()).drop("__good")), rows
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, trainable: Column) -> DataFrame:
     """(doc_id, score, predicted) for every row of ``docs``, learned from rows where ``trainable`` holds.
 
@@ -216,9 +251,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, trainable: Column) -> Data
     like any other; repeated rows are scored each; rows without ``doc_id`` are scored and never positive; without positives
     every score is 0.5. An empty table gives an empty result; further columns are ignored.
     """
-    trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1").select(F.col("doc_id").alias("__good"))
-    rows = materialise(text_features(docs.select("doc_id", "text"), ["doc_id"]))
-    train = rows.filter(trainable).join(trusted, F.col("doc_id") == F.col("__good"), "left")
-    train = train.withColumn("positive", F.col("__good").isNotNull()).drop("__good")
-    model = PuClassifier().fit(train)
+    model, rows = fit_quality(docs, labels, trainable)
     return rows.select("doc_id", model.score().alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, trainable: Column, columns: list[str]) -> DataFrame:
+    """Columns ``columns`` (``text`` among them) of the rows of ``docs`` that ``score_quality`` would predict as 1. Every row is
+    judged where it lies, by its own text: texts are not shuffled, and rows without or with equal ids need no care."""
+    model, _ = fit_quality(docs, labels, trainable)
+    return text_features(docs, columns).filter(model.score() >= 0.5).select(*columns)
