@@ -115,3 +115,10 @@ def op8(spark, d):
     from .cap_filters import near_vectors
 
     return near_vectors(tables(spark, d, "embeddings"))
+
+
+@query("pipeline")
+def pipeline(spark, d):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, d)
