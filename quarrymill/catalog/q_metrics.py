@@ -136,7 +136,7 @@ def logloss(spark, d):
 
 @query("l11_gini_norm", """
 WITH b AS (SELECT l_orderkey * 10 + l_linenumber AS k, l_quantity AS y, l_discount AS p FROM lineitem),
-g AS (SELECT sum(y * i) AS w, sum(y * j) AS best, sum(y) AS t, count(*) AS n FROM (SELECT y, row_number() OVER (ORDER BY p DESC, k) AS i, row_number() OVER (ORDER BY y DESC, k) AS j FROM b))
+g AS (SELECT sum(y * i) AS w, sum(y * j) AS best, sum(y) AS t, count(*) AS n FROM (SELECT y, row_number() OVER (ORDER BY p DESC, k, y) AS i, row_number() OVER (ORDER BY y DESC) AS j FROM b))
 SELECT round(((n + 1) / 2 - w / t) / ((n + 1) / 2 - best / t), 6) AS gini FROM g""")
 def gini(spark, d):
     line = load(spark, d, "lineitem").withColumn("k", F.col("l_orderkey") * 10 + F.col("l_linenumber"))

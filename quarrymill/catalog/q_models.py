@@ -199,6 +199,17 @@ def per_category(spark, d):
     return out.select("l_orderkey", "l_linenumber", r("prediction", 1).alias("prediction"))
 
 
+@query("n13_linear_by_category", """
+WITH m AS (SELECT l_suppkey, count(*) AS n, regr_slope(l_extendedprice, l_quantity) AS w, regr_intercept(l_extendedprice, l_quantity) AS b FROM lineitem GROUP BY 1 HAVING var_pop(l_quantity) > 0)
+SELECT l_orderkey, l_linenumber, l_suppkey, round(b + w * l_quantity, 2) AS prediction FROM lineitem JOIN m USING (l_suppkey)""")
+def linear_per_category(spark, d):
+    line = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")
+    models = Mo.linear_by_category(line, "l_suppkey", "l_extendedprice", ["l_quantity"])
+    varied = line.groupBy("l_suppkey").agg(F.var_pop("l_quantity").alias("v")).filter("v > 0").select(F.col("l_suppkey").alias("category"))
+    out = Mo.predict_linear_by_category(models.join(varied, "category"), line, "l_suppkey", ["l_quantity"])
+    return out.filter("prediction IS NOT NULL").select("l_orderkey", "l_linenumber", "l_suppkey", r("prediction", 2).alias("prediction"))
+
+
 @query("n14_fit_transform_steps")
 def steps(spark, d):
     """Fit once, save, load, apply to other rows."""

@@ -94,6 +94,17 @@ def spearman(spark, d):
     return P.corr_matrix(line, LINE, "spearman", "row").withColumn("corr", r("corr"))
 
 
+@query("f16_corr_wide", """
+WITH e AS (SELECT vec_id, generate_subscripts(embedding, 1) AS dim, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings),
+k AS (SELECT vec_id, dim, CASE WHEN v > -0.1 THEN v END AS v FROM e)
+SELECT 'd' || a.dim AS a, 'd' || b.dim AS b, round(corr(a.v, b.v), 6) AS corr FROM k a JOIN k b ON a.vec_id = b.vec_id AND a.dim < b.dim GROUP BY ALL""")
+def corr_wide(spark, d):
+    """All pairs of a wide table with missing values."""
+    v = lambda i: F.col("embedding")[i].cast("double")
+    wide = load(spark, d, "embeddings").select(*[F.when(v(i) > -0.1, v(i)).alias(f"d{i + 1}") for i in range(64)])
+    return P.corr_matrix(wide, wide.columns).withColumn("corr", r("corr"))
+
+
 _WIDE = "SELECT l_quantity, l_extendedprice, l_discount, l_extendedprice * (1 - l_discount) AS price_net, l_quantity * 2 + l_tax AS price_qty FROM lineitem"
 _WCOLS = ["l_quantity", "l_extendedprice", "l_discount", "price_net", "price_qty"]
 _WPAIRS = [(a, b) for i, a in enumerate(_WCOLS) for b in _WCOLS[i + 1 :]]

@@ -126,9 +126,9 @@ def head(spark, d):
     return R.head(load(spark, d, "orders").select("o_orderkey", "o_custkey"), 500, "o_orderkey")
 
 
-@query("i03_top_k", "SELECT p_partkey, p_retailprice FROM part WHERE p_retailprice > 950 ORDER BY p_retailprice DESC, p_partkey LIMIT 20")
+@query("i03_top_k", "SELECT p_partkey, p_retailprice FROM part WHERE p_retailprice > 905 ORDER BY p_retailprice DESC, p_partkey LIMIT 20")
 def top_k(spark, d):
-    return R.top_k(load(spark, d, "part").select("p_partkey", "p_retailprice"), "p_retailprice", 20, 950, ["p_partkey"])
+    return R.top_k(load(spark, d, "part").select("p_partkey", "p_retailprice"), "p_retailprice", 20, 905, ["p_partkey"])
 
 
 @query("i04_argmax", "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS at FROM embeddings")

@@ -11,7 +11,9 @@ from pyspark.sql import Column, functions as F, types as T
 from .numeric import as_col
 
 # Fixed values
-SPACE = r"[ \t\n\r\f\x0B]+"
+#: White space of any script, as a character class.
+BLANK = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+SPACE = BLANK + "+"
 WORD = r"[\p{L}\p{N}_]{2,}"
 DROPPED_PUNCTUATION = "~,!?\"':;)("
 HALF_WIDTH = ",.“”"
@@ -22,11 +24,11 @@ PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
 
 def strip(c) -> Column:
     """Text without white space at both ends."""
-    return F.regexp_replace(as_col(c), "^[ \\t\\n\\r\\f\\x0B]+|[ \\t\\n\\r\\f\\x0B]+$", "")
+    return F.regexp_replace(as_col(c), f"^{SPACE}|{SPACE}\\z", "")
 
 
 def tokens(c) -> Column:
-    """Words between runs of ASCII white space."""
+    """Words between runs of white space."""
     return F.filter(F.split(as_col(c), SPACE), lambda t: t != "")
 
 

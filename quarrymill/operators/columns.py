@@ -149,15 +149,16 @@ def _extremes(df: DataFrame, names: Sequence[str]):
 
 
 def shrink_by_max(df: DataFrame) -> dict[str, str]:
-    """Smallest type by the column maximum: 16 bits and up for integers, 32 bits and up for floats."""
+    """Smallest type that holds the column's minimum and maximum: 16 bits and up for integers, 32 bits and up for floats."""
     out = {}
     seen = _extremes(df, numeric_cols(df))
     for f in df.schema.fields:
         if f.name not in seen or seen[f.name][1] is None:
             continue
-        top = seen[f.name][1]
-        limits = {k: v for k, v in INT_LIMITS.items() if k != "tinyint"} if isinstance(f.dataType, INTEGRAL) else FLOAT_LIMITS
-        out[f.name] = next(t for t, most in limits.items() if top <= most)
+        low, top = seen[f.name]
+        whole = isinstance(f.dataType, INTEGRAL)
+        limits = {k: v for k, v in INT_LIMITS.items() if k != "tinyint"} if whole else FLOAT_LIMITS
+        out[f.name] = next((t for t, most in limits.items() if -most - whole <= low and top <= most), list(limits)[-1])
     return out
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..plans.ordering import row_numbers, running_sums
+from ..plans.ordering import rank_table, row_numbers, running_sums
 from ..plans.scalars import Scalars
 from ..plans.session import materialise
 
@@ -158,11 +158,12 @@ def logloss(df: DataFrame, y: str, probs: str) -> DataFrame:
 
 
 def gini_norm(df: DataFrame, y: str, p: str, key: str) -> DataFrame:
-    """Gini of the prediction order (ties by key) over the Gini of the perfect order. The sum of running sums equals a
-    sum of values times the rows that follow, so only row numbers are needed."""
+    """Gini of the prediction order (ties by key, then value) over the Gini of the perfect order. The sum of running sums
+    equals a sum of values times the rows that follow, so row numbers are needed for the first order only; equal values
+    share the mean of their places in the second, so counts per value do."""
     rows = df.select(F.col(key).alias("k"), F.col(y).cast("double").alias("y"), F.col(p).cast("double").alias("p"))
-    by_p = row_numbers(rows, [F.col("p").desc(), F.col("k")], name="i").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y") * F.col("i")).alias("w"), F.sum("y").alias("total"))
-    by_y = row_numbers(rows, [F.col("y").desc(), F.col("k")], name="i").agg(F.sum(F.col("y") * F.col("i")).alias("w"))
+    by_p = row_numbers(rows, [F.col("p").desc(), F.col("k"), F.col("y")], name="i").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y") * F.col("i")).alias("w"), F.sum("y").alias("total"))
+    by_y = rank_table(rows, "y", descending=True).agg(F.sum(F.col("y") * F.col("n") * F.col("rank_avg")).alias("w"))
     best = Scalars(by_y, w=F.first("w"))["w"]
 
     def gini(w):

@@ -7,6 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 import math
 import random
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -24,6 +26,7 @@ from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
+from ..plans.skew import lookup_join
 from .blend import oof_table, stack_features
 from .select import assemble
 from .split import add_fold
@@ -164,13 +167,49 @@ def fit_by_category(name: str, df: DataFrame, category: str, y: str, cols: Seque
 
 
 def predict_by_category(models: Mapping, df: DataFrame, category: str, cols: Sequence[str]) -> DataFrame:
-    parts = [m.transform(assemble(df.filter(F.col(category) == v), cols)).select(*df.columns, "prediction") for v, m in models.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    """Predictions by each row's own model; rows whose category is null or has no model keep a null prediction."""
+    known = F.col(category).isin(list(models)) if models else F.lit(False)
+    out = df.filter(~F.coalesce(known, F.lit(False))).withColumn("prediction", F.lit(None).cast("double"))
+    for v, m in models.items():
+        own = assemble(df.filter(F.col(category) == v), cols)
+        out = out.unionByName(m.transform(own).select(*df.columns, "prediction"))
     return out
 
 
+def linear_by_category(df: DataFrame, category: str, y: str, cols: Sequence[str], ridge: float = 0.0) -> DataFrame:
+    """(category, n, intercept, weights): least squares for every category, any number of them, in one aggregate. Each category
+    is reduced to its sums of products before the shuffle, so a large one costs no more than a small one. Rows with a null
+    in ``y`` or ``cols`` are passed over; a singular system takes the shortest solution."""
+    cols = list(cols)
+    x = [F.lit(1.0), *[F.col(c).cast("double") for c in cols], F.col(y).cast("double")]
+    size = len(x)
+    complete = df.dropna(subset=[y, *cols])
+    cells = [(i, j) for i in range(size) for j in range(i, size)]
+    sums = complete.groupBy(F.col(category).alias("category")).agg(*[F.sum(x[i] * x[j]).alias(f"s_{i}_{j}") for i, j in cells])
+    kind = df.schema[category].dataType.simpleString()
+
+    def solve(parts):
+        for part in parts:
+            gram = np.zeros((len(part), size, size))
+            for i, j in cells:
+                gram[:, i, j] = gram[:, j, i] = part[f"s_{i}_{j}"].to_numpy("f8")
+            left = gram[:, :-1, :-1] + np.diag([0.0] + [ridge] * len(cols))
+            w = np.einsum("nij,nj->ni", np.linalg.pinv(left, hermitian=True), gram[:, :-1, -1])
+            yield pd.DataFrame({"category": part["category"], "n": gram[:, 0, 0].astype("i8"), "intercept": w[:, 0], "weights": list(w[:, 1:])})
+
+    return sums.mapInPandas(solve, f"category {kind}, n long, intercept double, weights array<double>")
+
+
+def predict_linear_by_category(models: DataFrame, df: DataFrame, category: str, cols: Sequence[str], name: str = "prediction") -> DataFrame:
+    """Predictions from the table of ``linear_by_category``; null where the category is null or has no model."""
+    table = models.select(F.col("category").alias(category), F.col("intercept").alias("__b"), F.col("weights").alias("__w"))
+    rows = lookup_join(df, table, [category], salt_on=df.columns)
+    total = F.col("__b")
+    for i, c in enumerate(cols):
+        total = total + F.col("__w")[i] * F.col(c).cast("double")
+    return rows.withColumn(name, total).select(*df.columns, name)
+
+
 class ColumnStep(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """A registered column function as a step that can be saved and loaded with a pipeline."""
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.hashing import key_hash
@@ -14,7 +16,6 @@ from ..plans.session import materialise
 from .columns import distinct_counts, numeric_cols
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-PAIRWISE_COLUMNS = 60
 
 
 def _long(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -116,13 +117,6 @@ def group_share(df: DataFrame, group: str, column: str) -> DataFrame:
     return lookup_join(counts, totals, [group]).select(group, column, "n", (F.col("n") / F.col("__total")).alias("share"))
 
 
-def safe_corr(a: str, b: str) -> Column:
-    """Pearson correlation over the rows where both are present; null when one of them does not vary."""
-    x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-    y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def corr_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearson", key: str | None = None, sample: float | None = None):
     """Correlation of column pairs in long form, upper triangle (``a`` before ``b`` in the column order)."""
     cols = list(cols)
@@ -136,23 +130,41 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearson", key
         for c in cols:
             df = attach_ranks(df, c, columns=("rank_avg",), salt_on=[key] if key else None).withColumnRenamed("rank_avg", f"__rank_{c}")
         df = df.select(*[F.col(f"__rank_{c}").alias(c) for c in cols])
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    if len(cols) > PAIRWISE_COLUMNS:
-        return _corr_by_vectors(df, cols)
-    one = df.agg(*[safe_corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    structs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("corr")) for i, (a, b) in enumerate(pairs)]
-    return one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
-
-
-def _corr_by_vectors(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """For wide tables: one Gram-type pass over vectors; rows with a missing value are skipped."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vectors = VectorAssembler(inputCols=list(cols), outputCol="v", handleInvalid="skip").transform(df).select("v")
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    rows = [(a, b, float(matrix[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
+    return _pairwise_sums(df, cols)
+
+
+def _pairwise_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Correlation of every pair over the rows where both are present, in one pass: each task keeps masked sums of products of
+    its rows, and the sums of a pair meet in one row. Null where fewer than two rows have both or one does not vary; NaN
+    counts as missing."""
+    low = df.agg(*[F.min(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    shift = np.array([0.0 if m is None else m for m in low])
+    names = [f"c{i}" for i in range(len(cols))]
+    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+    def run(parts):
+        total = np.zeros((4, len(cols), len(cols)))
+        for part in parts:
+            x = part.to_numpy("f8") - shift
+            there = ~np.isnan(x)
+            x = np.where(there, x, 0.0)
+            seen = there.astype("f8")
+            total += np.stack([seen.T @ seen, x.T @ seen, (x * x).T @ seen, x.T @ x])
+        n, s, q, p = total
+        i, j = np.triu_indices(len(cols), 1)
+        yield pd.DataFrame({"i": i.astype("i4"), "j": j.astype("i4"), "n": n[i, j], "sx": s[i, j], "sy": s[j, i], "sxx": q[i, j], "syy": q[j, i], "sxy": p[i, j]})
+
+    rows = df.select(*[F.col(c).cast("double").alias(a) for c, a in zip(cols, names)])
+    sums = rows.mapInPandas(run, schema).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+
+    def varies(s, q):
+        v = F.col(q) - F.try_divide(F.col(s) * F.col(s), F.col("n"))
+        return F.when(v > F.col(q) * 1e-12, v)
+
+    both = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    corr = both / F.sqrt(varies("sx", "sxx") * varies("sy", "syy"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return sums.select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), corr.alias("corr"))
 
 
 def correlated_pairs(df: DataFrame, cols: Sequence[str], threshold: float, method: str = "pearson") -> DataFrame:
@@ -221,8 +233,6 @@ def line_raster(df: DataFrame, t: Column, value: str, width: int) -> DataFrame:
 def decimate(df: DataFrame, key: str, n: int, seed: str = "decimate") -> DataFrame:
     """At most ``n`` rows, those with the lowest key hash."""
     hashed = df.withColumn("__h", key_hash(key, seed))
-    if n <= 100_000:
-        return hashed.orderBy("__h", key).limit(n).drop("__h")
     return row_numbers(hashed, ["__h", key], name="__row").filter(F.col("__row") <= n).drop("__h", "__row")
 
 

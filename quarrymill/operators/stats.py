@@ -50,24 +50,42 @@ def ks_normal(df: DataFrame, column: str, mean: float = 0.0, std: float = 1.0) -
     )
 
 
-def boxcox_lambda(df: DataFrame, column: str, grid: Sequence[float] | None = None) -> float:
-    """Power with the best profile likelihood: a coarse grid, then a fine one, each in one aggregate."""
+def boxcox_lambda(df: DataFrame, column: str, grid: Sequence[float] | None = None, tolerance: float = 1e-6) -> float:
+    """Power with the best profile likelihood. A bracket is moved and widened while its end wins, then narrowed around the
+    best point until it is below the tolerance; each step is one aggregate. Values are taken relative to their geometric
+    mean, which changes the likelihood by a constant and keeps powers in range."""
     x = F.col(column).cast("double")
     rows = df.filter(x > 0)
+    centre = rows.agg(F.avg(F.ln(x))).first()[0]
+    if centre is None:
+        return math.nan
+    u = F.ln(x) - centre
 
-    def best(lambdas: Sequence[float]) -> float:
+    def likelihoods(lambdas: Sequence[float]) -> list[float]:
         aggs = []
         for i, lam in enumerate(lambdas):
-            z = F.ln(x) if abs(lam) < 1e-12 else (F.pow(x, F.lit(lam)) - 1) / lam
-            aggs.append((-F.count(x) / 2 * F.ln(F.var_pop(z)) + (lam - 1) * F.sum(F.ln(x))).alias(f"l{i}"))
+            z = u if abs(lam) < 1e-12 else F.expm1(u * F.lit(lam)) / lam
+            aggs.append((-F.count(x) / 2 * F.ln(F.var_pop(z))).alias(f"l{i}"))
         row = rows.agg(*aggs).first()
-        values = [(-math.inf if row[f"l{i}"] is None else row[f"l{i}"]) for i in range(len(lambdas))]
-        return lambdas[int(np.argmax(values))]
+        values = [row[f"l{i}"] for i in range(len(lambdas))]
+        return [-math.inf if v is None or math.isnan(v) else v for v in values]
 
     if grid is not None:
-        return best(list(grid))
-    coarse = best([round(-2 + 0.25 * i, 2) for i in range(17)])
-    return best([round(coarse + 0.02 * i, 4) for i in range(-12, 13)])
+        return list(grid)[int(np.argmax(likelihoods(list(grid))))]
+    low, high, points = -2.0, 2.0, 17
+    for _ in range(200):
+        lambdas = list(np.linspace(low, high, points))
+        at = int(np.argmax(likelihoods(lambdas)))
+        step = (high - low) / (points - 1)
+        if at == 0 and low > -1e6:
+            low, high = low - 2 * (high - low), lambdas[1]
+        elif at == points - 1 and high < 1e6:
+            low, high = lambdas[-2], high + 2 * (high - low)
+        elif step < tolerance:
+            break
+        else:
+            low, high = lambdas[at] - step, lambdas[at] + step
+    return float(lambdas[at])
 
 
 def boxcox(df: DataFrame, column: str, lam: float | None = None, name: str | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.arrays import cosine
 from ..functions.text import ngrams, strip, tokens
 from ..plans.scalars import Scalars
-from ..plans.session import materialise, settle, spread
+from ..plans.session import materialise, settle
 from ..plans.skew import lookup_join
 
 # Fixed values
@@ -43,7 +43,7 @@ def read_scored_files(spark, hyp_path: str, ref_paths: Sequence[str]) -> DataFra
 
 def gram_counts(df: DataFrame, key: Sequence[str], words: Column, n: int = 4) -> DataFrame:
     """Counts of all n-grams up to ``n`` per key."""
-    base = spread(df, *key).select(*key, words.alias("__w"))
+    base = df.select(*key, words.alias("__w"))
 
     def of_order(k: int) -> Column:
         return F.transform(ngrams(F.col("__w"), k), lambda g: F.struct(F.lit(k).alias("n"), g.alias("gram")))

@@ -11,10 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .session import materialise, plan_size
-from .skew import SURELY_SMALL, is_small, salted_join
-
-PLAIN_WINDOW_BYTES = 8 << 20
+from .session import materialise
+from .skew import is_small, salted_join
 
 
 def running_sums(
@@ -23,14 +21,6 @@ def running_sums(
     """Add ``cum_<m>`` (inclusive, in ``order`` within ``keys``) and ``tot_<m>``; ``order`` must be unique per group."""
     keys = list(keys)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    if plan_size(df) <= PLAIN_WINDOW_BYTES:
-        # the input files are so small that no group can be large: a plain window is exact and needs no extra pass
-        upto = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-        return df.select(
-            *df.columns,
-            *[F.sum(m).over(upto).alias(f"cum_{m}") for m in measures],
-            *([F.sum(m).over(W.partitionBy(*keys)).alias(f"tot_{m}") for m in measures] if totals else []),
-        )
     slotted = materialise(
         df.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn("__slot", F.spark_partition_id())
     )
@@ -84,7 +74,7 @@ def attach_ranks(df, value, keys=(), columns=("rank_avg", "total"), descending=F
     """Ranks of ``value`` within ``keys`` on every row (null where the value is null)."""
     on = [*keys, value]
     table = rank_table(df, value, keys, descending)
-    table = table if plan_size(table) <= SURELY_SMALL else materialise(table)
+    table = materialise(table)
     wanted = table.select(*on, *columns)
     if is_small(table):
         return df.join(F.broadcast(wanted), on, "left")
@@ -92,7 +82,8 @@ def attach_ranks(df, value, keys=(), columns=("rank_avg", "total"), descending=F
 
 
 def row_numbers(df: DataFrame, order: Sequence[Column | str], keys: Sequence[str] = (), name: str = "row_number"):
-    """Exact 1-based row number in a unique order, balanced for any group size."""
+    """Exact 1-based row number, balanced for any group size. Rows that are equal in the whole order get different numbers in
+    no particular order, so the order should be unique or such rows interchangeable."""
     run = running_sums(df.withColumn("__one", F.lit(1)), order, ["__one"], keys, totals=False)
     return run.withColumnRenamed("cum___one", name).drop("__one")
 

@@ -77,27 +77,6 @@ def settle(df: DataFrame) -> DataFrame:
     return df if getattr(df, "_written", False) else materialise(df)
 
 
-def plan_size(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame, from the sizes of the files it reads: no job runs. Aggregates and filters
-    count as large as their input and joins as the product, so the estimate errs to the large side."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return 1 << 62
-
-
-SPLIT_BYTES = 128 << 20
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Even out rows ahead of heavy work per row when the files are too few or too small to occupy all cores. A table
-    that fills at least one full split per core is left as it is, so large scans are never shuffled for this."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if plan_size(df) >= cores * SPLIT_BYTES:
-        return df
-    return df.repartition(cores, *(keys or df.columns))
-
-
 def measure(df: DataFrame) -> tuple[int, int]:
     """Rows and bytes of a frame, counted once per frame object."""
     known = getattr(df, "_measured", None)

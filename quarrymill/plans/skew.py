@@ -13,19 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from .scalars import Scalars
-from .session import materialise, measure, plan_size
+from .session import materialise, measure
 
 HOT_SHARE = 1 / 1000
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
-# tables whose input files are below this are broadcast without counting them
-SURELY_SMALL = 1 << 20
 
 
 def is_small(df: DataFrame) -> bool:
-    """Whether a frame is within the broadcast limits: by the files behind it, else by counting rows and bytes."""
-    if plan_size(df) <= SURELY_SMALL:
-        return True
+    """Whether a frame is within the broadcast limits, by counting its rows and bytes."""
     found = measure(df)
     return found[0] <= BROADCAST_ROWS and found[1] <= BROADCAST_BYTES
 
@@ -63,7 +59,7 @@ def salted_join(left, right, keys, how="left", salt_on=None, counts=None, n="n")
 
 def lookup_join(left, right, keys, how="left", salt_on=None, counts=None, n="n", ready=False) -> DataFrame:
     """Bring the columns of a lookup table (unique on ``keys``) to every row of ``left``."""
-    table = right if ready or plan_size(right) <= SURELY_SMALL else materialise(right)
+    table = right if ready else materialise(right)
     if is_small(table):
         return left.join(F.broadcast(table), list(keys), how)
     return salted_join(left, table, keys, how, salt_on, counts, n)
@@ -75,7 +71,7 @@ def attach_groups(df, keys, how="left", salt_on=None, **aggs) -> DataFrame:
     groups = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__rows"), *[agg.alias(name) for name, agg in aggs.items()]
     )
-    groups = groups if plan_size(groups) <= SURELY_SMALL else materialise(groups)
+    groups = materialise(groups)
     if is_small(groups):
         return df.join(F.broadcast(groups.drop("__rows")), keys, how)
     counts = groups.select(*keys, F.col("__rows").alias("n"))

@@ -12,10 +12,7 @@ def spark():
 
 @pytest.fixture
 def big(monkeypatch):
-    """Take the ways meant for large tables, whatever the size: no plain windows, no broadcast."""
-    from quarrymill.plans import ordering, skew
+    """Join as if no table were within the broadcast limits."""
+    from quarrymill.plans import skew
 
-    monkeypatch.setattr(ordering, "PLAIN_WINDOW_BYTES", -1)
-    monkeypatch.setattr(ordering, "SURELY_SMALL", -1)
-    monkeypatch.setattr(skew, "SURELY_SMALL", -1)
     monkeypatch.setattr(skew, "BROADCAST_ROWS", -1)

@@ -10,7 +10,7 @@ from quarrymill.functions import binning, numeric, text
 from quarrymill.operators import columns, corpus, encoding, models, neighbors, select, split, stats
 from quarrymill.operators.aggregate import GroupStats, recipe
 from quarrymill.operators.blend import blend
-from quarrymill.operators.profile import safe_corr
+from quarrymill.operators.profile import corr_matrix
 from quarrymill.operators.relational import join_validated
 from quarrymill.sources import readers, writers
 
@@ -39,7 +39,7 @@ def test_row_variance_ignores_nulls(spark):
 
 def test_constant_column_has_no_correlation(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0)], "a double, b double")
-    assert df.agg(safe_corr("a", "b").alias("c")).first()["c"] is None
+    assert corr_matrix(df, ["a", "b"]).first()["corr"] is None
 
 
 def test_headers_and_formats(spark, tmp_path):
