@@ -13,9 +13,10 @@ sets cancel, so two sketches differ in at most as many places as the symmetric d
    third of all texts hold do not gather those texts. The signatures travel as packed arrays, one bucket of hashes per task.
 3. Candidate pairs are screened by set sizes and by the Hamming distance of the bit sketches (folded to equal length), then
    verified on the shingles of the texts.
-4. A signature shared by many nodes first gives a star around one of them. After the stars' links are joined into
-   components, only pairs of such a group that still lie in different components are screened (in blocks of bounded size)
-   and verified. So large groups of near copies cost a number of comparisons in proportion to their size.
+4. A signature shared by many nodes first gives a star around the one that shares most. After the stars' links are joined
+   into components, each node of such a group is compared with its nearest by sketch in another component, until no more
+   links are found this way; then all pairs of the group that still lie in different components are screened (in blocks of
+   bounded size) and verified. So large groups of near copies cost comparisons in proportion to their size.
 
 Only candidate texts are read a second time.
 """
@@ -286,10 +287,16 @@ def _meet(rows):
         pair_b.append(fn[step:][hit])
     group, member = [np.zeros(0, "i8")], [np.zeros(0, "i8")]
     seen = set()
+    # the star's centre: of near copies of one text, that text shares most signatures with the others
+    popular, place = np.unique(node[many], return_inverse=True)
+    rank = np.zeros(len(node), "i8")
+    rank[many] = np.bincount(place)[place] if len(place) else 0
     for at, n in zip(first[counts > SMALL_GROUP].tolist(), counts[counts > SMALL_GROUP].tolist()):
         list_ = node[at : at + n]
-        pair_a.append(np.full(n - 1, list_[0]))
-        pair_b.append(list_[1:])
+        centre = int(np.argmax(rank[at : at + n]))
+        rest = np.delete(list_, centre)
+        pair_a.append(np.minimum(rest, list_[centre]))
+        pair_b.append(np.maximum(rest, list_[centre]))
         name = int(mix(np.array([mix(list_.view("u8")).sum()], "u8"))[0] >> np.uint64(1))
         if name not in seen:
             seen.add(name)
@@ -366,9 +373,10 @@ def _verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, perc
     return spread.groupBy("pack").cogroup(texts.groupBy("pack")).applyInPandas(check, "a long, b long")
 
 
-def _open_pairs(members: DataFrame, links: DataFrame, nodes: DataFrame, percent: int) -> DataFrame | None:
+def _open_pairs(members: DataFrame, links: DataFrame, nodes: DataFrame, percent: int, nearest: bool) -> DataFrame | None:
     """Pairs of large groups whose ends lie in different components of the links found so far and which sizes and sketches
-    allow. Groups are compared in blocks of bounded size; None where no group has two components."""
+    allow; with ``nearest``, only each node's pair of least distance in a block. Groups are compared in blocks of bounded
+    size; None where no group has two components."""
     import pandas as pd
 
     comp = components(links).withColumnsRenamed({"node": "fp", "component": "comp"})
@@ -417,7 +425,10 @@ def _open_pairs(members: DataFrame, links: DataFrame, nodes: DataFrame, percent:
                         if not len(c):
                             continue
                         far = np.bitwise_count(sb[c] ^ left[k]).sum(1, dtype="i8")
-                        c = ib[c[far <= (100 - percent) * (n[x] + n[ib[c]]) // (100 + percent)]]
+                        good = far <= (100 - percent) * (n[x] + n[ib[c]]) // (100 + percent)
+                        if nearest and good.any():
+                            good = np.arange(len(c)) == np.argmin(np.where(good, far / (n[x] + n[ib[c]]), np.inf))
+                        c = ib[c[good]]
                         found_a.append(np.minimum(fp[x], fp[c]))
                         found_b.append(np.maximum(fp[x], fp[c]))
         a, b = _unique_pairs(np.concatenate(found_a), np.concatenate(found_b))
@@ -461,9 +472,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         pairs = met.filter("kind = 0").select("a", "b").distinct()
         links = materialise(_verify(_screen(pairs, nodes, percent), nodes, docs, size, percent))
         members = met.filter("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("fp")).distinct()
-        more = _open_pairs(members, links, nodes, percent)
-        if more is not None:
-            links = materialise(links.unionByName(_verify(more, nodes, docs, size, percent)))
+        members = materialise(members)
+        for nearest in (True, False):
+            more = _open_pairs(members, links, nodes, percent, nearest)
+            if more is None:
+                break
+            found = materialise(_verify(more, nodes, docs, size, percent))
+            links = links.unionByName(found)
         comp = components(links).withColumnsRenamed({"node": "fp", "component": "comp"})
     else:
         comp = nodes.select("fp", F.col("fp").alias("comp"))
