@@ -96,20 +96,14 @@ class KdTree:
         return out
 
 
-def _best(ids, scores, k):
-    """Places of the k best, by score down and id up."""
-    if len(ids) > 4 * k:
-        edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-        keep = np.flatnonzero(scores >= edge)
-    else:
-        keep = np.arange(len(ids))
-    order = np.lexsort((ids[keep], -scores[keep]))[:k]
-    return keep[order]
-
-
-def search_block(rows, queries, k: int, quantile: float, bucket: int = 128):
-    """Search one block for a set of queries. ``rows``: (ids, vectors, lifts, projections); ``queries``: (ids, vectors, radius,
-    projections), radius being the bound of the k-th squared distance known so far. Returns (query, id, score) arrays."""
+def search_block(rows, queries, k: int, quantile: float, bucket: int = 256):
+    """Search one block for a set of queries. ``rows``: (ids, vectors, lift^2, projections); ``queries``: (ids, vectors, bound,
+    projections), bound being the k-th squared distance known so far. Returns (query, id, score) arrays.
+
+    The block's buckets are taken in order of their distance in projection; a query takes part as long as its stopping test
+    allows, and verifies the rows that the test leaves. Products of all of them at once only tell which rows can matter; the
+    scores returned are computed row by row, so equal vectors have equal scores wherever they stand.
+    """
     ids, x, lift2, px = rows
     qid, q, bound, pq = queries
     depth = max(0, math.ceil(math.log2(max(1, len(ids)) / bucket)))
@@ -119,32 +113,31 @@ def search_block(rows, queries, k: int, quantile: float, bucket: int = 128):
     ends = np.searchsorted(leaf[order], np.arange((1 << depth) + 1))
     reach = tree.reach(pq)
     q2 = (q * q).sum(1)
-    out_q, out_i, out_s = [], [], []
-    for j in range(len(qid)):
-        d2 = bound[j]
-        found_i, found_s, found_d = np.zeros(0, "i8"), np.zeros(0), np.zeros(0)
-        for b in np.argsort(reach[j], kind="stable"):
-            if reach[j, b] > quantile * d2 * (1 + 1e-9) + 1e-12:
-                break
-            at = order[ends[b] : ends[b + 1]]
-            near = ((px[at] - pq[j]) ** 2).sum(1)
-            at = at[(near <= quantile * d2 * (1 + 1e-9) + 1e-12) & (ids[at] != qid[j])]
-            if not len(at):
-                continue
-            s = np.einsum("ij,j->i", x[at], q[j])
-            dist = np.maximum(q2[j] + lift2 - 2 * s, 0.0)
-            found_i, found_s = np.r_[found_i, ids[at]], np.r_[found_s, s]
-            found_d = np.r_[found_d, dist]
-            keep = _best(found_i, found_s, k)
-            found_i, found_s, found_d = found_i[keep], found_s[keep], found_d[keep]
-            if len(found_i) == k:
-                d2 = min(d2, found_d[-1])
-        within = found_d <= bound[j] * (1 + 1e-9) + 1e-12  # others cannot be among the k nearest
-        found_i, found_s = found_i[within], found_s[within]
-        out_q.append(np.full(len(found_i), qid[j]))
-        out_i.append(found_i)
-        out_s.append(found_s)
-    return np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_s)
+    pq2, px2 = (pq * pq).sum(1), (px * px).sum(1)
+    slack = 1e-9 * max(1.0, lift2)
+    found_i = [np.zeros(0, "i8")] * len(qid)
+    found_s = [np.zeros(0)] * len(qid)
+    d2 = bound.astype("f8").copy()
+    least = np.where(np.isfinite(d2), (q2 + lift2 - d2) / 2, -np.inf)  # a score below this cannot be among the k best
+    for b in np.argsort(reach.min(0), kind="stable"):
+        at = order[ends[b] : ends[b + 1]]
+        act = np.flatnonzero(reach[:, b] <= quantile * d2 + slack)
+        if not len(at) or not len(act):
+            continue
+        near = pq2[act, None] + px2[at][None, :] - 2 * pq[act] @ px[at].T
+        able = (near <= quantile * d2[act, None] + slack) & (q[act] @ x[at].T >= least[act, None] - slack)
+        able &= ids[at][None, :] != qid[act, None]
+        for i in np.flatnonzero(able.any(1)):
+            j, rows_ = act[i], at[able[i]]
+            i_all = np.r_[found_i[j], ids[rows_]]
+            s_all = np.r_[found_s[j], (x[rows_] * q[j]).sum(1)]
+            keep = np.lexsort((i_all, -s_all))[:k]
+            found_i[j], found_s[j] = i_all[keep], s_all[keep]
+            if len(keep) == k:
+                least[j] = max(least[j], s_all[keep[-1]])
+                d2[j] = min(d2[j], max(q2[j] + lift2 - 2 * s_all[keep[-1]], 0.0))
+    sizes = [len(x) for x in found_i]
+    return np.repeat(qid, sizes), np.concatenate(found_i), np.concatenate(found_s)
 
 
 def nearest(
@@ -244,7 +237,7 @@ def nearest(
                 some = part.iloc[i : i + 256]
                 q = np.array(some["v"].tolist(), "f8")
                 reach = tree.reach(project(q, np.zeros(len(q))))
-                near = reach <= (quantile * some["bound"].to_numpy() * (1 + 1e-9) + 1e-12)[:, None]
+                near = reach <= (quantile * some["bound"].to_numpy() + 1e-9 * max(1.0, largest2))[:, None]
                 near[np.arange(len(some)), some["home"].to_numpy()] = False
                 at, leaf = np.nonzero(near)
                 out = some.iloc[at].copy()
