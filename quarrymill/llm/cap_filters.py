@@ -23,9 +23,9 @@ from ..plans.session import materialise
 from .components import components
 from .vectors import usable
 
-RECALL = 0.995
-#: Directions per distinct vector: so a filter holds less than one unrelated vector on average.
-DIRECTIONS_A_ROW = 24
+RECALL = 0.97
+#: Directions per distinct vector. Fewer mean fewer filters a vector is sent to, and more vectors to compare in each.
+DIRECTIONS_A_ROW = 2
 MOST_IN_A_PART = 2048
 BLOCK = 1024
 CALL_ROWS = 4000
@@ -36,7 +36,7 @@ class ProductCode:
 
     def __init__(self, dim: int, rows: int, cosine: float, recall: float = RECALL, seed: int = 5):
         rng = np.random.default_rng(seed)
-        wanted = max(64, DIRECTIONS_A_ROW * rows)
+        wanted = max(64, int(DIRECTIONS_A_ROW * rows))
         self.parts = 2
         while wanted ** (1 / self.parts) > MOST_IN_A_PART and self.parts < dim:
             self.parts += 1
@@ -102,6 +102,18 @@ class ProductCode:
         self.threshold = float(np.quantile(reach, 1 - recall))
 
 
+def pack_vector(v: np.ndarray) -> bytes:
+    """Four bytes a component where they hold the value exactly, else eight."""
+    short = v.astype("<f4")
+    return b"4" + short.tobytes() if (short == v).all() else b"8" + v.astype("<f8").tobytes()
+
+
+def unpack(packed) -> np.ndarray:
+    """Unit vectors, as rows, of packed vectors."""
+    x = np.array([np.frombuffer(v, "<f4" if v[:1] == b"4" else "<f8", offset=1).astype("f8") for v in packed])
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
 def _spanning(near: np.ndarray) -> np.ndarray:
     """Smallest place reachable from each place of a symmetric matrix of links."""
     label = np.arange(len(near))
@@ -114,15 +126,22 @@ def _spanning(near: np.ndarray) -> np.ndarray:
         label = low
 
 
-def _compare(part, cosine: float):
+def _compare(part, cosine: float, code: ProductCode):
     """Of the blocks of one call: kind 0, (node, nodes' copies linked with it); kind 1, a link (a, b) of a spanning set."""
     import pandas as pd
 
     part = part.sort_values(["filter", "lo", "hi", "node"], kind="stable")
     f, lo, hi = (part[c].to_numpy("i8") for c in ("filter", "lo", "hi"))
     node, mult, block = (part[c].to_numpy("i8") for c in ("node", "mult", "block"))
-    x = np.array([np.frombuffer(v, "<f8") for v in part["unit"]])
-    lists = [np.frombuffer(v, "<i8") for v in part["filters"]]
+    x = unpack(part["v"])
+    held: dict[int, np.ndarray] = {}
+
+    def filters(i: int) -> np.ndarray:
+        """Directions of a row, decoded again: only rows that have links are asked for."""
+        if node[i] not in held:
+            held[node[i]] = code.decode([s[0] for s in code.scores(x[i : i + 1])])
+        return held[node[i]]
+
     new = np.r_[True, (f[1:] != f[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]
     first = np.flatnonzero(new)
     count = np.diff(np.r_[first, len(f)])
@@ -140,8 +159,8 @@ def _compare(part, cosine: float):
         for i, j in zip(at[good].tolist(), at[good + step].tolist()):
             if lo[i] != hi[i] and block[i] == block[j]:
                 continue
-            common = np.intersect1d(lists[i], lists[j], assume_unique=True)
-            if common[0] == f[i]:
+            common = np.intersect1d(filters(i), filters(j), assume_unique=True)
+            if len(common) and common[0] == f[i]:
                 links[i] += mult[j]
                 links[j] += mult[i]
                 ea.append(node[i : i + 1])
@@ -160,7 +179,7 @@ def _compare(part, cosine: float):
         ea.append(node[rows])
         eb.append(node[rows[label]])
         # pairs that an earlier filter holds are counted there
-        before = [lists[r][lists[r] < f[a]] for r in rows]
+        before = [filters(r)[filters(r) < f[a]] for r in rows]
         seen, place = np.unique(np.concatenate(before), return_inverse=True)
         inside = np.zeros((len(rows), len(seen)), "f4")
         inside[np.repeat(np.arange(len(rows)), [len(b) for b in before]), place] = 1
@@ -202,15 +221,15 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, key: str = "vec_id", c
             for at in range(0, len(batch), 1000):
                 some = batch.slice(at, 1000)
                 v = some.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(some), -1)
-                unit = v / np.linalg.norm(v, axis=1, keepdims=True)
-                scores = code.scores(unit)
+                packed = [pack_vector(x) for x in v]
+                scores = code.scores(unpack(packed))
                 found = [code.decode([s[i] for s in scores]).astype("<i8") for i in range(len(some))]
                 yield pa.RecordBatch.from_arrays([
-                    some.column(0), some.column(1), pa.array([u.astype("<f8").tobytes() for u in unit], pa.binary()),
+                    some.column(0), some.column(1), pa.array(packed, pa.binary()),
                     pa.array(found, pa.list_(pa.int64())),
-                ], names=["node", "mult", "unit", "filters"])
+                ], names=["node", "mult", "packed", "filters"])
 
-    decoded = nodes.select("node", "mult", "v").mapInArrow(decode, "node long, mult long, unit binary, filters array<bigint>")
+    decoded = nodes.select("node", "mult", "v").mapInArrow(decode, "node long, mult long, packed binary, filters array<bigint>")
     decoded = materialise(decoded)
     held = decoded.select("node", F.explode("filters").alias("filter"))
     shared = held.groupBy("filter").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -223,12 +242,10 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, key: str = "vec_id", c
     placed = placed.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
     wide = F.when(F.col("blocks") > 1, F.xxhash64("filter", "lo", "hi")).otherwise(F.pmod(F.xxhash64("filter"), F.lit(calls)))
     placed = placed.withColumn("call", wide).select("node", "filter", "block", "lo", "hi", "call")
-    packed = decoded.select("node", "mult", "unit", "filters")
-    ready = placed.join(packed, "node")
+    ready = placed.join(decoded.select("node", "mult", F.col("packed").alias("v")), "node")
 
     def compare(part):
-        part = part.assign(filters=[np.asarray(x, "<i8").tobytes() for x in part["filters"]])
-        return _compare(part, cosine)
+        return _compare(part, cosine, code)
 
     found = materialise(ready.groupBy("call").applyInPandas(compare, "kind int, a long, b long"))
     counts = found.filter("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("more"))
