@@ -36,7 +36,8 @@ def buffers(column) -> tuple[np.ndarray, np.ndarray]:
 
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "")
+    if column.null_count:
+        column = pc.fill_null(column, "")
     wide = pa.types.is_large_string(column.type)
     _, offsets, data = column.buffers()
     n = len(column)
