@@ -373,10 +373,11 @@ def _verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, perc
     return spread.groupBy("pack").cogroup(texts.groupBy("pack")).applyInPandas(check, "a long, b long")
 
 
-def _open_pairs(members: DataFrame, links: DataFrame, nodes: DataFrame, percent: int, nearest: bool) -> DataFrame | None:
+def _open_pairs(members: DataFrame, links: DataFrame, nodes: DataFrame, percent: int, nearest: bool):
     """Pairs of large groups whose ends lie in different components of the links found so far and which sizes and sketches
     allow; with ``nearest``, only each node's pair of least distance in a block. Groups are compared in blocks of bounded
-    size; None where no group has two components."""
+    size. Returns the pairs and the nodes that have any (components only grow, so the others need no further look); None
+    where no group has two components."""
     import pandas as pd
 
     comp = components(links).withColumnsRenamed({"node": "fp", "component": "comp"})
@@ -395,7 +396,7 @@ def _open_pairs(members: DataFrame, links: DataFrame, nodes: DataFrame, percent:
     def screen(part):
         from collections import defaultdict
 
-        found_a, found_b = [np.zeros(0, "i8")], [np.zeros(0, "i8")]
+        found_a, found_b, alive = [np.zeros(0, "i8")], [np.zeros(0, "i8")], [np.zeros(0, "i8")]
         for _, grp in part.groupby(["g", "lo", "hi"]):
             n, fp, comp = grp["n"].to_numpy("i8"), grp["fp"].to_numpy("i8"), grp["comp"].to_numpy("i8")
             block = grp["i"].to_numpy("i8")
@@ -426,19 +427,25 @@ def _open_pairs(members: DataFrame, links: DataFrame, nodes: DataFrame, percent:
                             continue
                         far = np.bitwise_count(sb[c] ^ left[k]).sum(1, dtype="i8")
                         good = far <= (100 - percent) * (n[x] + n[ib[c]]) // (100 + percent)
-                        if nearest and good.any():
+                        if not good.any():
+                            continue
+                        alive += [fp[x : x + 1], fp[ib[c[good]]]]
+                        if nearest:
                             good = np.arange(len(c)) == np.argmin(np.where(good, far / (n[x] + n[ib[c]]), np.inf))
                         c = ib[c[good]]
                         found_a.append(np.minimum(fp[x], fp[c]))
                         found_b.append(np.maximum(fp[x], fp[c]))
         a, b = _unique_pairs(np.concatenate(found_a), np.concatenate(found_b))
-        return pd.DataFrame({"a": a, "b": b})
+        own = np.unique(np.concatenate(alive))
+        return pd.DataFrame({"kind": np.r_[np.zeros(len(a), "i4"), np.ones(len(own), "i4")], "a": np.r_[a, own], "b": np.r_[b, own]})
 
-    found = rows.select("call", "g", "lo", "hi", "i", "fp", "comp", "n", "sketch").groupBy("call").applyInPandas(screen, "a long, b long")
-    pairs = found.distinct()
+    found = rows.select("call", "g", "lo", "hi", "i", "fp", "comp", "n", "sketch").groupBy("call").applyInPandas(screen, "kind int, a long, b long")
+    found = materialise(found)
+    pairs = found.filter("kind = 0").select("a", "b").distinct()
+    alive = found.filter("kind = 1").select(F.col("a").alias("fp")).distinct()
     sizes = nodes.select("fp", "n")
     pairs = pairs.join(sizes.withColumnsRenamed({"fp": "a", "n": "na"}), "a").join(sizes.withColumnsRenamed({"fp": "b", "n": "nb"}), "b")
-    return pairs.select("a", "b", "na", "nb")
+    return pairs.select("a", "b", "na", "nb"), alive
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -474,9 +481,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         members = met.filter("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("fp")).distinct()
         members = materialise(members)
         for nearest in (True, False):
-            more = _open_pairs(members, links, nodes, percent, nearest)
-            if more is None:
+            open_ = _open_pairs(members, links, nodes, percent, nearest)
+            if open_ is None:
                 break
+            more, alive = open_
+            members = materialise(members.join(alive, "fp", "left_semi"))
             found = materialise(_verify(more, nodes, docs, size, percent))
             links = links.unionByName(found)
         comp = components(links).withColumnsRenamed({"node": "fp", "component": "comp"})
