@@ -152,6 +152,19 @@ def test_lm_edges(spark):
     assert all(math.isfinite(r.score) for r in got)
 
 
+def test_lm_tells_rare_words_apart(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(400):
+        firsts = [rng.randrange(300) for _ in range(30)]
+        rows.append((i, " ".join(f"a{k} b{k}" for k in firsts)))
+    # as often in the corpus, but the second words do not belong to the first
+    rows += [(1000, " ".join(f"a{k} b{k}" for k in range(250, 300))), (1001, " ".join(f"a{k} b{k - 7}" for k in range(257, 300)) + " " + " ".join(f"a{250 + k} b{293 + k}" for k in range(7)))]
+    got = {r.doc_id: r for r in lm_score.score_texts(spark.createDataFrame(rows, SCHEMA), F.col("doc_id") < 1000).collect()}
+    assert got[1000].base_score == pytest.approx(got[1001].base_score)
+    assert got[1000].score > got[1001].score + 10
+
+
 def test_log_bilinear_is_normalised():
     import numpy as np
 
