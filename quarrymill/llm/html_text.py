@@ -11,6 +11,7 @@ Pages are independent rows, handled where they lie in Arrow batches; nothing is
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 import html
 import re
@@ -38,6 +39,7 @@ BLOCKS = {
     "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 } | NOISE
 CONTAINERS = {"article", "body", "div", "header", "main", "section", "table"} | NOISE
+WALLS = CONTAINERS | {"ul", "ol", "dl"}
 #: An opening tag of the second kind ends an open element of the first kind.
 ENDS = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 
@@ -77,6 +79,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool]] = []  # open elements and whether they are noise
+    places: defaultdict[str, list[int]] = defaultdict(list)  # in the stack, by name
+    walls: list[int] = []  # places that an opening tag closes nothing below of
     noise = articles = links = linked = 0
     at, end = 0, len(page)
 
@@ -97,6 +101,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         nonlocal noise, articles, links
         while len(stack) > depth:
             name, was_noise = stack.pop()
+            places[name].pop()
+            if name in WALLS:
+                walls.pop()
             if name in CONTAINERS or was_noise:
                 gap()
             elif name in BLOCKS:
@@ -125,9 +132,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             continue
         name = name.lower()
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is not None:
-                close(depth)
+            if places[name]:
+                close(places[name][-1])
             elif name in BLOCKS and not noise:
                 flush()
             continue
@@ -142,22 +148,21 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             elif name == "br":
                 say(" ")
             continue
-        for i in range(len(stack) - 1, -1, -1):
-            if name in ENDS.get(stack[i][0], ()):
-                close(i)
-                break
-            if stack[i][0] in CONTAINERS or stack[i][0] in ("ul", "ol", "dl"):
-                break
+        ended = max((places[x][-1] for x, ends in ENDS.items() if name in ends and places[x]), default=-1)
+        if ended >= 0 and (not walls or ended >= walls[-1]):
+            close(ended)
         bad = is_noise(name, body, articles > 0)
         if name in CONTAINERS or bad:
             gap()
         elif name in BLOCKS:
             flush()
-        if len(stack) < 2000:
-            stack.append((name, bad))
-            noise += bad
-            articles += name in ("article", "main")
-            links += name == "a"
+        places[name].append(len(stack))
+        if name in WALLS:
+            walls.append(len(stack))
+        stack.append((name, bad))
+        noise += bad
+        articles += name in ("article", "main")
+        links += name == "a"
     close(0)
     flush()
     return lines

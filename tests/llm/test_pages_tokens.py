@@ -93,3 +93,10 @@ def test_round_trip(spark, library):
     back = bpe.decode_ids(coded, path).collect()
     assert sorted(bytes(r.data) for r in back) == sorted((t or "").encode() for _, t in rows)
     assert bpe.round_trip(df.limit(0), path, public_tokenizers.PATTERN).count() == 0
+
+
+def test_noise_below_thousands_of_open_elements():
+    text = "A sentence of the page that is long enough to be its main text, and goes on a little more. "
+    page = "<html><body>" + "<b>" * 5000 + f"<p>{text}</p><nav>menu menu</nav><div hidden>secret</div><p>{text}</p>"
+    got = main_text(page)
+    assert got.count("A sentence") == 2 and "menu" not in got and "secret" not in got
