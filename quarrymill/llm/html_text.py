@@ -3,8 +3,9 @@
 Markup is stripped to lines: one per block of text, blank ones where a container begins or ends. Elements that are no
 article text by their name, role, class or visibility are stripped with their contents. The text lengths in a sliding window
 of lines form a curve; it surges where text begins and dives to zero where a run of lines ends. The text between a surge and
-its dive is kept where the curve's peak is high enough for the page and little of it is link text; inside an <article> or
-<main>, every such run is kept.
+its dive is kept where the curve's peak is high enough for the page and little of it is link text. The runs of one <article>
+or <main> are judged together, by their highest peak and joint link share, and their peak counts ``ARTICLE_WEIGHT`` times; the
+element decides nothing else.
 
 Pages are independent rows, handled where they lie in Arrow batches; nothing is shuffled.
 """
@@ -19,8 +20,9 @@ import re
 from pyspark.sql import DataFrame
 
 WINDOW = 3
-#: Peak of the curve, in characters, that a run outside an article needs, or this share of the page's highest peak.
+#: Peak of the curve, in characters, that a run needs, or this share of the page's highest peak.
 SURGE_CHARS, SURGE_SHARE = 86, 0.25
+ARTICLE_WEIGHT = 2
 
 # fixed values: element names, roles and class words of HTML pages
 RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "svg", "math", "canvas", "object", "video", "audio", "title"}
@@ -74,14 +76,15 @@ def is_noise(tag: str, body: str, in_article: bool) -> bool:
     return any(w.lower() in NOISE_WORDS for w in _WORD.findall(names))
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, characters of it inside links, in an article) for each line; blank lines where containers begin and end."""
-    lines: list[tuple[str, int, bool]] = []
+def lines_of(page: str) -> list[tuple[str, int, int]]:
+    """(text, characters of it inside links, number of the outermost article around it or 0) for each line; blank lines where
+    containers begin and end."""
+    lines: list[tuple[str, int, int]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool]] = []  # open elements and whether they are noise
     places: defaultdict[str, list[int]] = defaultdict(list)  # in the stack, by name
     walls: list[int] = []  # places that an opening tag closes nothing below of
-    noise = articles = links = linked = 0
+    noise = articles = number = links = linked = 0
     at, end = 0, len(page)
 
     def flush():
@@ -89,13 +92,13 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                lines.append((text, min(linked, len(text)), articles > 0))
+                lines.append((text, min(linked, len(text)), number if articles else 0))
             parts.clear()
         linked = 0
 
     def gap():
         flush()
-        lines.extend([("", 0, articles > 0)] * WINDOW)
+        lines.extend([("", 0, number if articles else 0)] * WINDOW)
 
     def close(depth: int):
         nonlocal noise, articles, links
@@ -161,7 +164,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             walls.append(len(stack))
         stack.append((name, bad))
         noise += bad
-        articles += name in ("article", "main")
+        if name in ("article", "main"):
+            number += not articles
+            articles += 1
         links += name == "a"
     close(0)
     flush()
@@ -188,16 +193,14 @@ def main_text(page: str | None) -> str:
         while i < n and curve[i]:
             i += 1
         kept = [x for x in lines[start:i] if x[0]]
-        chars = sum(len(x[0]) for x in kept)
-        runs.append((max(curve[start:i]), sum(x[1] for x in kept) / chars, any(x[2] for x in kept), kept))
-    if not runs:
-        return ""
-    if any(inside for _, _, inside, _ in runs):
-        chosen = [kept for _, _, inside, kept in runs if inside]
-    else:
-        low = [peak for peak, share, _, _ in runs if share < 0.5] or [0]
-        floor = min(SURGE_CHARS, SURGE_SHARE * max(low))
-        chosen = [kept for peak, share, _, kept in runs if share < 0.5 and peak >= floor]
+        runs.append((max(curve[start:i]), max(x[2] for x in kept), kept))
+    groups = {}  # peak, characters and linked ones of the runs judged together: of an article, or one run
+    for k, (peak, article, kept) in enumerate(runs):
+        old = groups.get(article or -k - 1, (0, 0, 0))
+        groups[article or -k - 1] = (max(old[0], peak), old[1] + sum(len(x[0]) for x in kept), old[2] + sum(x[1] for x in kept))
+    text = {g: peak * (ARTICLE_WEIGHT if g > 0 else 1) for g, (peak, chars, linked) in groups.items() if linked < 0.5 * chars}
+    floor = min(SURGE_CHARS, SURGE_SHARE * max(text.values(), default=0))
+    chosen = [kept for k, (_, article, kept) in enumerate(runs) if text.get(article or -k - 1, -1) >= floor]
     return "\n".join(x[0] for kept in chosen for x in kept)
 
 

@@ -100,3 +100,13 @@ def test_noise_below_thousands_of_open_elements():
     page = "<html><body>" + "<b>" * 5000 + f"<p>{text}</p><nav>menu menu</nav><div hidden>secret</div><p>{text}</p>"
     got = main_text(page)
     assert got.count("A sentence") == 2 and "menu" not in got and "secret" not in got
+
+
+def test_article_is_a_weight():
+    text = "A sentence of the page that is long enough to be its main text, and goes on a little more. "
+    card = "<article>Short card</article>"
+    assert main_text(f"<html><body><div><p>{text * 3}</p><p>{text * 3}</p></div><div>{card}</div></body></html>").count("A sentence") == 6
+    # short runs of a long article stay, and so does a long run beside it
+    got = main_text(f"<body><article><p>{text * 3}</p><div>Short end.</div></article><div><p>{text * 2}</p></div><div>Short</div></body>")
+    assert got.count("A sentence") == 5 and got.endswith("\n" + (text * 2).strip()) and "Short end." in got
+    assert "Short card" not in main_text(f"<body><div><p>{text * 5}</p></div>{card}</body>")
