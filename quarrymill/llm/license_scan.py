@@ -27,6 +27,8 @@ PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserv
 TEMPLATES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
      "documentation files the software to deal in the software without restriction", "permission is hereby granted"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+     "the software", "this permission notice shall be included"),
     ("mit", "released under the mit license", "mit license"),
     ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
      "with the license", "apache license"),
@@ -45,7 +47,7 @@ TEMPLATES = [
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license",
      "creative commons attribution"),
 ]
-#: Agreeing rare words that make a template a candidate.
+#: Agreeing rare words that make a template a candidate; one is enough where its mandatory phrase has only one rare word.
 MIN_AGREEING = 2
 #: A word is rare when at most this many templates hold it.
 MAX_TEMPLATES = 2
@@ -107,6 +109,10 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str]
         words, need = text.split(), must.split()
         places.append(next(i for i in range(len(words)) if words[i : i + len(need)] == need))
 
+    single = [
+        sum((t, p + k) in postings.get(w, ()) for k, w in enumerate(need)) == 1 for t, (need, p) in enumerate(zip(mandatory, places))
+    ]
+
     words = F.regexp_extract_all(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), F.lit(WORD), F.lit(0))
     wanted = sorted(lookup)
 
@@ -126,8 +132,9 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str]
     def agreeing(votes):
         """Offsets with enough votes: sorted, a run is long enough where the entry some places on is the same."""
         at = F.sequence(F.lit(0), F.size(votes) - 1)
-        good = F.filter(at, lambda j: F.coalesce(F.get(votes, j + (MIN_AGREEING - 1)) == votes[j], F.lit(False)))
-        return F.when(F.size(votes) >= MIN_AGREEING, F.array_distinct(F.transform(good, lambda j: votes[j])))
+        enough = lambda j: F.coalesce(F.get(votes, j + (MIN_AGREEING - 1)) == votes[j], F.lit(False))
+        good = F.filter(at, lambda j: enough(j) | votes[j]["t"].isin([t for t, one in enumerate(single) if one]))
+        return F.when(F.size(votes) > 0, F.array_distinct(F.transform(good, lambda j: votes[j])))
 
     labels = F.array(*[F.lit(label) for label, _, _ in templates])
     must = F.array(*[
@@ -151,7 +158,7 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str]
 
     none = F.array().cast("array<struct<label:string,off:int,coverage:double>>")
     votes = F.array_sort(F.flatten(F.transform(rare, vote)))
-    out = out.withColumn("matches", F.when(F.size(rare) >= MIN_AGREEING, F.coalesce(let(votes, matched), none)).otherwise(none))
+    out = out.withColumn("matches", F.when(F.size(rare) > 0, F.coalesce(let(votes, matched), none)).otherwise(none))
     starts = [(_starts(hits, phrase), label) for phrase, label in phrases.items()]
     out = out.withColumn("__starts", F.array(*[s for s, _ in starts]))
     base = F.array_compact(F.array(*[F.when(F.size(F.col("__starts")[k]) > 0, F.lit(label)) for k, (_, label) in enumerate(starts)]))

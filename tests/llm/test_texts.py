@@ -120,6 +120,16 @@ def test_license_scan(spark):
     assert scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_license_notices_in_other_words(spark):
+    rows = [
+        (1, "Licensed under the MIT License"), (2, "# MIT License"), (3, "studied at mit without a license"),
+        (4, "text before. The above copyright notice and this permission notice shall be included in all copies."),
+        (5, "see the Apache License"), (6, "GNU is free"), (7, "released today"),
+    ]
+    got = {r.doc_id: r.labels for r in scan_licenses(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: ["mit"], 2: ["mit"], 3: [], 4: ["mit"], 5: ["apache"], 6: [], 7: []}
+
+
 def test_lm_scores(spark):
     rng = random.Random(4)
     pairs = {f"a{i}": f"b{i}" for i in range(30)}
