@@ -122,3 +122,25 @@ def pipeline(spark, d):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, d)
+
+
+@query("op12_merkle_manifest")
+def op12(spark, d):
+    from .merkle_manifest import leaf_digest, manifest
+
+    docs = tables(spark, d, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    bare = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    changed = leaf_digest(*[F.col(c) for c in fields[:-1]], bare)
+    out = manifest(docs, "doc_id", "source", fields, F.when(even, changed))
+    siblings = F.concat_ws("", F.zip_with("lefts", "rights", lambda a, b: F.concat(a, b)))
+    return out.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
