@@ -144,3 +144,12 @@ def op12(spark, d):
         F.col("folded").alias("folded_root"),
         (F.col("folded") == F.col("root")).alias("verified"),
     )
+
+
+@query("op11_prefix_trie")
+def op11(spark, d):
+    from .exprs import crc_mod
+    from .prefix_trie import prefix_trie
+
+    c = F.col("c")
+    return prefix_trie(tables(spark, d, "conversations"), c - c % 5, crc_mod(c, 9), 8)
