@@ -153,3 +153,13 @@ def op11(spark, d):
 
     c = F.col("c")
     return prefix_trie(tables(spark, d, "conversations"), c - c % 5, crc_mod(c, 9), 8)
+
+
+@query("op13_language_id")
+def op13(spark, d):
+    from .byte_gru import identify_languages
+    from .exprs import crc_mod
+
+    held = crc_mod(F.col("doc_id"), 4) == 2
+    out = identify_languages(tables(spark, d, "documents").select("doc_id", "text", "lang"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
