@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.session import materialise
-from .wordhash import IS_SPACE, buffers
+from .wordhash import IS_SPACE, buffers, slices
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 #: Cost of a sequence besides its tokens, in tokens.
@@ -63,13 +63,17 @@ def count_tokens(docs: DataFrame, text: str = "text", out: str = "n_tokens") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column(len(rest)))
-            inside = ~IS_SPACE[data]
-            begins = inside.copy()
-            begins[1:] &= ~inside[:-1]
-            edges = offsets[:-1][np.diff(offsets) > 0]
-            begins[edges] = inside[edges]
-            upto = np.r_[0, np.cumsum(begins)]
-            n = upto[offsets[1:]] - upto[offsets[:-1]] + 1
+            n = np.ones(len(offsets) - 1, "i8")
+            for first, last in slices(offsets):  # a megabyte of whole texts at a time
+                o = offsets[first : last + 1]
+                inside = ~IS_SPACE[data[o[0] : o[-1]]]
+                o = o - o[0]
+                begins = inside.copy()
+                begins[1:] &= ~inside[:-1]
+                edges = o[:-1][np.diff(o) > 0]
+                begins[edges] = inside[edges]
+                words = np.add.reduceat(begins, edges, dtype="i8") if len(edges) else 0
+                n[first:last][np.diff(o) > 0] += words
             cols = [batch.column(i) for i in range(len(rest))]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64())], names=[*rest, out])
 
