@@ -211,12 +211,13 @@ def _signatures(docs: DataFrame, common: np.ndarray, buckets: int, size: int, pe
                 to, k, r = to[order], (k[order] & np.uint64(0xFFFFFFFF)).astype("<u4"), r[order].astype("<u2")
                 at = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]) if len(to) else np.zeros(0, "i8")
                 ends = np.r_[at[1:], len(to)]
-                packed_f = f.astype("<i8").tobytes()
+                # a bucket gets the fingerprints that its own keys name, so that rows grow with keys, not with buckets
+                named = [np.unique(r[i:j], return_inverse=True) for i, j in zip(at, ends)]
                 return pa.RecordBatch.from_arrays([
                     pa.array(to[at].astype("i4"), pa.int32()),
                     pa.array([k[i:j].tobytes() for i, j in zip(at, ends)], pa.binary()),
-                    pa.array([r[i:j].tobytes() for i, j in zip(at, ends)], pa.binary()),
-                    pa.array([packed_f] * len(at), pa.binary()),
+                    pa.array([place.astype("<u2").tobytes() for _, place in named], pa.binary()),
+                    pa.array([f[own].astype("<i8").tobytes() for own, _ in named], pa.binary()),
                 ], names=["bucket", "keys", "places", "fps"])
 
             seen: set[int] = set()
