@@ -148,14 +148,14 @@ def nearest(spark, d):
 
 @query("i05_nearest_many", """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n, label FROM embeddings),
-p AS (SELECT a.vec_id, b.vec_id AS neighbor, list_dot_product(a.v, b.v) / (a.n * b.n) AS s FROM e a, e b WHERE a.label = 0 AND a.vec_id <> b.vec_id)
+p AS (SELECT a.vec_id, b.vec_id AS neighbor, list_dot_product(a.v, b.v) / (a.n * b.n) AS s FROM e a, e b WHERE a.vec_id <> b.vec_id)
 SELECT vec_id, neighbor, CAST(k AS INTEGER) AS rank, round(s, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, neighbor) AS k FROM p) WHERE k <= 3""")
 def nearest_many(spark, d):
     """Many queries: nearest directions are nearest unit vectors, so the exact pivot search applies."""
     from ..operators.neighbors import knn
 
     vectors = load(spark, d, "embeddings").withColumn("embedding", unit("embedding"))
-    found = knn(vectors.filter("label = 0"), vectors, "vec_id", "embedding", 3, exclude_self=True)
+    found = knn(vectors, vectors, "vec_id", "embedding", 3, exclude_self=True)
     return found.select("vec_id", "neighbor", F.col("rank").cast("int").alias("rank"), r(1 - F.col("distance") * F.col("distance") / 2).alias("score"))
 
 

@@ -160,19 +160,40 @@ def brute_knn(q, b, k, self_match):
     return out
 
 
-@pytest.mark.parametrize("block", [7, 4096])
-def test_neighbors_are_exact(spark, monkeypatch, block):
-    """Clusters, copies and blocks smaller than a cell."""
-    monkeypatch.setattr(neighbors, "BLOCK_ROWS", block)
+@pytest.mark.parametrize("shard,run", [(7, 5), (40, 1000), (4096, 1000)])
+def test_neighbors_are_exact(spark, monkeypatch, shard, run):
+    """Clusters, copies, shards smaller than a cell and shards held by several tasks."""
+    monkeypatch.setattr(neighbors, "SHARD_ROWS", shard)
+    monkeypatch.setattr(neighbors, "QUERY_RUN", run)
+    monkeypatch.setattr(neighbors, "CELLS", 200)
     rng = np.random.default_rng(0)
     points = {i: (rng.normal(size=3) + 6 * (i % 3)).tolist() for i in range(120)}
     points.update({200 + i: points[0] for i in range(30)})
-    df = spark.createDataFrame([(i, v) for i, v in points.items()], "id long, v array<double>")
-    want = brute_knn(points, points, 4, True)
-    got = {}
-    for r in neighbors.knn(df, df, "id", "v", 4, exclude_self=True).orderBy("id", "rank").collect():
-        got.setdefault(r["id"], []).append(r["neighbor"])
-    assert got == want
+    rows = [(i, v) for i, v in points.items()]
+    df = spark.createDataFrame(rows + [(500, None), (None, points[1])], "id long, v array<double>")
+    others = {i: points[i] for i in range(0, 230, 2) if i in points} | {300 + i: rng.normal(size=3).tolist() for i in range(5)}
+    asked = spark.createDataFrame(list(others.items()), "id long, v array<double>")
+    for queries, frame, alone in ((points, df, True), (others, asked, False)):
+        got = {}
+        for r in neighbors.knn(frame, df, "id", "v", 4, exclude_self=alone).orderBy("id", "rank").collect():
+            got.setdefault(r["id"], []).append(r["neighbor"])
+        assert got == brute_knn(queries, points, 4, alone)
+
+
+def test_neighbors_move_few_rows(spark, monkeypatch):
+    """Base rows reach one shard each; copies of one vector are one query and no more than k + 1 base rows."""
+    monkeypatch.setattr(neighbors, "SHARD_ROWS", 50)
+    seen = []
+    search = neighbors._search
+    monkeypatch.setattr(neighbors, "_search", lambda b, q, *a: seen.append((b.count(), q.count())) or search(b, q, *a))
+    rng = np.random.default_rng(3)
+    points = [(i, [float(i // 100) * 100 + rng.normal(), rng.normal()]) for i in range(400)] + [(1000 + i, [5.0, 5.0]) for i in range(300)]
+    df = spark.createDataFrame(points, "id long, v array<double>")
+    assert neighbors.knn(df, df, "id", "v", 3, exclude_self=True).count() == 3 * 700
+    assert [b for b, _ in seen] == [404, 404]
+    assert seen[0][1] == 401 and seen[1][1] < 401 * 3  # four far clusters of two shards each
+    none = df.limit(0)
+    assert neighbors.knn(df, none, "id", "v", 3).count() == 0 and neighbors.knn(none, df, "id", "v", 3).count() == 0
 
 
 def test_smote_lies_between_neighbours(spark):
