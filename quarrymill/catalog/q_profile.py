@@ -94,6 +94,21 @@ def spearman(spark, d):
     return P.corr_matrix(line, LINE, "spearman", "row").withColumn("corr", r("corr"))
 
 
+@query("f17_corr_spearman_wide", """
+WITH e AS (SELECT vec_id, generate_subscripts(embedding, 1) AS dim, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings),
+k AS (SELECT vec_id, dim, round(v, 2) AS v FROM e WHERE v > -0.1 OR dim % 2 = 0),
+p AS (SELECT a.dim AS x, b.dim AS y, a.v AS va, b.v AS vb FROM k a JOIN k b ON a.vec_id = b.vec_id AND a.dim < b.dim),
+s AS (SELECT x, y, rank() OVER (PARTITION BY x, y ORDER BY va) + (count(*) OVER (PARTITION BY x, y, va) - 1) / 2 AS ra,
+rank() OVER (PARTITION BY x, y ORDER BY vb) + (count(*) OVER (PARTITION BY x, y, vb) - 1) / 2 AS rb FROM p)
+SELECT 'd' || x AS a, 'd' || y AS b, round(corr(ra, rb), 6) AS corr FROM s GROUP BY ALL""")
+def spearman_wide(spark, d):
+    """All pairs of a wide table with ties and missing values: each pair is ranked within the rows it shares."""
+    v = lambda i: F.col("embedding")[i].cast("double")
+    cell = lambda i: F.round(v(i), 2) if i % 2 else F.when(v(i) > -0.1, F.round(v(i), 2))
+    wide = load(spark, d, "embeddings").select(*[cell(i).alias(f"d{i + 1}") for i in range(64)])
+    return P.corr_matrix(wide, wide.columns, "spearman").withColumn("corr", r("corr"))
+
+
 @query("f16_corr_wide", """
 WITH e AS (SELECT vec_id, generate_subscripts(embedding, 1) AS dim, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings),
 k AS (SELECT vec_id, dim, CASE WHEN v > -0.1 THEN v END AS v FROM e)

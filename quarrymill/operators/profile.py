@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.hashing import key_hash
-from ..plans.ordering import attach_ranks, group_quantiles, row_numbers
+from ..plans.ordering import group_quantiles, row_numbers, running_sums
 from ..plans.scalars import Scalars
 from ..plans.skew import attach_groups, lookup_join
 from ..plans.session import materialise
@@ -126,17 +126,86 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearson", key
         from .columns import hash_sample
 
         df = hash_sample(df, key, sample)
-    if method == "spearman":
-        for c in cols:
-            df = attach_ranks(df, c, columns=("rank_avg",), salt_on=[key] if key else None).withColumnRenamed("rank_avg", f"__rank_{c}")
-        df = df.select(*[F.col(f"__rank_{c}").alias(c) for c in cols])
-    return _pairwise_sums(df, cols)
+    sums = _shared_rank_sums(df, cols) if method == "spearman" else _pairwise_sums(df, cols)
+    return _correlations(sums, cols)
+
+
+def _number(c: str) -> Column:
+    return F.nanvl(F.col(c).cast("double"), F.lit(None))
+
+
+def _shared_rank_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Sums of products of ranks for every pair, where a value is ranked among the rows that have both columns.
+
+    That rank depends on the other column only by which rows miss it, so columns that miss the same rows share it. All columns
+    are ranked in one range partition over (column, value), with one running count per such pattern; each value then
+    takes its ranks back, and the sums are gathered row by row. NaN counts as missing."""
+    p = len(cols)
+    names = [f"c{i}" for i in range(p)]
+    wide = materialise(df.select(F.monotonically_increasing_id().alias("rid"), *[_number(c).alias(a) for c, a in zip(cols, names)]))
+    missing = [F.sum(F.when(F.col(a).isNull(), F.xxhash64("rid").cast("decimal(20,0)"))).alias(a) for a in names]
+    found = wide.agg(*missing).first()
+    kinds = {x: k for k, x in enumerate(dict.fromkeys(found))}
+    kind = np.array([kinds[x] for x in found])
+    m = len(kinds)
+    first = [int(np.flatnonzero(kind == k)[0]) for k in range(m)]
+    has = F.array(*[F.col(names[i]).isNotNull().cast("int") for i in first]).alias("has")
+    long = wide.select("rid", has, F.posexplode(F.array(*names)).alias("i", "value")).filter("value IS NOT NULL")
+    seen = [F.sum(F.col("has")[k]).alias(f"n{k}") for k in range(m)]
+    counts = materialise(long.groupBy("i", "value").agg(F.count(F.lit(1)).alias("n"), *seen))
+    run = running_sums(counts, ["value"], [f"n{k}" for k in range(m)], ["i"])
+    # ranks as shares of their total, about 0: the correlation is the same, and sums of squares stay small
+    share = lambda k: F.coalesce(F.try_divide(F.col(f"cum_n{k}") - (F.col(f"n{k}") - 1) / 2, F.col(f"tot_n{k}")) - 0.5, F.lit(0.0))
+    table = run.select("i", "value", F.array(*[share(k) for k in range(m)]).alias("ranks"))
+    ranked = lookup_join(long.select("rid", "i", "value"), table, ["i", "value"], "inner", ["rid"], counts.select("i", "value", "n"))
+    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+    def gather(batches):
+        import pyarrow as pa
+
+        total = np.zeros((4, p, p))
+        groups = [np.flatnonzero(kind == k) for k in range(m)]
+
+        def add(rid, i, ranks):
+            row = np.cumsum(np.r_[0, rid[1:] != rid[:-1]])
+            x, there = np.zeros((row[-1] + 1, p, m)), np.zeros((row[-1] + 1, p))
+            x[row, i], there[row, i] = ranks, 1.0
+            for a, ga in enumerate(groups):
+                for b, gb in enumerate(groups):
+                    mine, other = x[:, ga, b], x[:, gb, a]
+                    at = np.ix_(ga, gb)
+                    total[0][at] += there[:, ga].T @ there[:, gb]
+                    total[1][at] += mine.T @ there[:, gb]
+                    total[2][at] += (mine * mine).T @ there[:, gb]
+                    total[3][at] += mine.T @ other
+
+        waiting, held = [], 0
+        for batch in batches:
+            waiting.append([batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).flatten().to_numpy().reshape(-1, m)])
+            held += batch.num_rows
+            if held * m < 1 << 22:
+                continue
+            now = [np.concatenate(x) for x in zip(*waiting)]
+            whole = int(np.searchsorted(now[0], now[0][-1]))  # the last row may go on
+            if whole:
+                add(*[x[:whole] for x in now])
+            waiting, held = [[x[whole:] for x in now]], held - whole
+        if held:
+            add(*[np.concatenate(x) for x in zip(*waiting)])
+        i, j = np.triu_indices(p, 1)
+        n, s, q, t = total
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.astype("i4")), pa.array(j.astype("i4")), *[pa.array(v) for v in (n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], t[i, j])]],
+            ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"],
+        )
+
+    dealt = ranked.select("rid", "i", "ranks").repartition("rid").sortWithinPartitions("rid")
+    return dealt.mapInArrow(gather, schema)
 
 
 def _pairwise_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Correlation of every pair over the rows where both are present, in one pass: each task keeps masked sums of products of
-    its rows, and the sums of a pair meet in one row. Null where fewer than two rows have both or one does not vary; NaN
-    counts as missing."""
+    """Sums of products of every pair over the rows where both are present, in one pass: each task keeps the masked sums of its
+    rows. NaN counts as missing."""
     low = df.agg(*[F.min(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"m{i}") for i, c in enumerate(cols)]).first()
     shift = np.array([0.0 if m is None else m for m in low])
     names = [f"c{i}" for i in range(len(cols))]
@@ -155,7 +224,13 @@ def _pairwise_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         yield pd.DataFrame({"i": i.astype("i4"), "j": j.astype("i4"), "n": n[i, j], "sx": s[i, j], "sy": s[j, i], "sxx": q[i, j], "syy": q[j, i], "sxy": p[i, j]})
 
     rows = df.select(*[F.col(c).cast("double").alias(a) for c, a in zip(cols, names)])
-    sums = rows.mapInPandas(run, schema).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    return rows.mapInPandas(run, schema)
+
+
+def _correlations(parts: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Correlation of every pair from the tasks' sums, which meet in one row a pair. Null where fewer than two rows have both or
+    one does not vary."""
+    sums = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
 
     def varies(s, q):
         v = F.col(q) - F.try_divide(F.col(s) * F.col(s), F.col("n"))
