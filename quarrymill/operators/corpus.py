@@ -1,4 +1,4 @@
-"""Vocabulary, id sequences, TF-IDF with entropy weights, co-occurrence and word vectors."""
+"""Vocabulary, id sequences, TF-IDF with entropy weights, co-occurrence and aligned vectors (``wordvec`` trains them)."""
 
 from __future__ import annotations
 
@@ -241,18 +241,6 @@ def cooccurrence(df: DataFrame, key: str, words: Column, window: int = 15, min_c
     )
 
 
-def word_vectors(df: DataFrame, words: Column, size: int = 100, window: int = 5, min_count: int = 2, iterations: int = 1, partitions: int = 8):
-    """Skip-gram vectors as (token, vector)."""
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
-
-    rows = df.select(words.alias("words"))
-    est = Word2Vec(
-        vectorSize=size, windowSize=window, minCount=min_count, maxIter=iterations, numPartitions=partitions, seed=7, inputCol="words", outputCol="v"
-    )
-    return est.fit(rows).getVectors().select(F.col("word").alias("token"), vector_to_array("vector").alias("vector"))
-
-
 def align_vectors(vocab: DataFrame, vectors: DataFrame, size: int, spread: float = 0.25) -> DataFrame:
     """A vector for every vocabulary token; tokens without one get small numbers drawn from the token."""
     drawn = F.transform(
