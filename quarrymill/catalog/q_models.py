@@ -92,7 +92,7 @@ def selector_importance(spark, d):
 @query("n04_stepwise")
 def stepwise(spark, d):
     df = load(spark, d, "lineitem").withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount")) + F.col("l_quantity") * 100)
-    return _names(df, S.stepwise(df, "net", LINE))
+    return S.stepwise(df, "net", LINE).select("feature", "place", r("coefficient", 4).alias("coefficient"), r("p_value").alias("p_value"))
 
 
 @query("n05_lasso")
@@ -101,12 +101,24 @@ def lasso(spark, d):
     return _names(df, S.select_lasso(df, "l_extendedprice", LINE + ["noise"], reg=100.0))
 
 
+@query("n05_lars")
+def lars(spark, d):
+    df = load(spark, d, "lineitem").withColumn("noise", F.pmod(F.xxhash64("l_orderkey"), F.lit(97)).cast("double"))
+    return S.select_lars(df, "l_extendedprice", LINE + ["noise"], penalty=100.0).withColumn("coefficient", r("coefficient", 3))
+
+
 @query("n06_rfe")
 def rfe(spark, d):
     df = doc_features(spark, d)
     return _names(df, S.rfe(df, "quality", DOC_COLS, 2))
 
 
+@query("n06_rfe_grid")
+def rfe_grid(spark, d):
+    _, table = S.rfe_grid(doc_features(spark, d), "doc_id", "quality", DOC_COLS, _auc(), 2)
+    return table.select("n", r("score", 3).alias("score"), r("deviation", 3).alias("deviation"), "chosen")
+
+
 @query("n07_pca")
 def pca(spark, d):
     out = S.pca_block(wide_vectors(spark, d, 16), [f"x{i}" for i in range(16)], 3)
@@ -153,7 +165,7 @@ def _reg_query(name, params):
     return run
 
 
-for _name, _params in {"linear": {}, "ridge": {}, "lasso": {}, "boosted_trees": {"maxIter": 5, "seed": 7}, "random_forest": {"numTrees": 5, "seed": 7}}.items():
+for _name, _params in {"linear": {}, "ridge": {}, "bayesian_ridge": {}, "lasso": {}, "boosted_trees": {"maxIter": 5, "seed": 7}, "random_forest": {"numTrees": 5, "seed": 7}}.items():
     _reg_query(_name, _params)
 
 
@@ -191,12 +203,27 @@ def grid_search(spark, d):
     return _fitted(model.transform(rows), "doc_id")
 
 
-@query("n13_model_per_category")
+@query("n13_model_per_category", """
+WITH b AS (SELECT l_suppkey, l_quantity, sum(l_extendedprice) AS s, count(*) AS n FROM lineitem GROUP BY 1, 2),
+c AS (SELECT l_suppkey, l_quantity AS v, sum(s) OVER w AS ls, sum(n) OVER w AS ln, sum(s) OVER (PARTITION BY l_suppkey) AS ts, sum(n) OVER (PARTITION BY l_suppkey) AS tn,
+lead(l_quantity) OVER (PARTITION BY l_suppkey ORDER BY l_quantity) AS nxt FROM b WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_quantity)),
+g AS (SELECT l_suppkey, (v + nxt) / 2 AS cut, ls / ln AS low, (ts - ls) / (tn - ln) AS high, ls * ls / ln + (ts - ls) ** 2 / (tn - ln) - ts * ts / tn AS gain FROM c WHERE tn > ln),
+k AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY gain DESC, cut) = 1), m AS (SELECT DISTINCT l_suppkey, ts / tn AS mean FROM c)
+SELECT l_orderkey, l_linenumber, l_suppkey, round(coalesce(CASE WHEN l_quantity <= cut THEN low ELSE high END, mean), 2) AS prediction FROM lineitem JOIN m USING (l_suppkey) LEFT JOIN k USING (l_suppkey)""")
 def per_category(spark, d):
-    line = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice", "l_quantity")
-    models = Mo.fit_by_category("linear", line, "l_returnflag", "l_extendedprice", ["l_quantity"])
-    out = Mo.predict_by_category(models, line, "l_returnflag", ["l_quantity"])
-    return out.select("l_orderkey", "l_linenumber", r("prediction", 1).alias("prediction"))
+    """A regression tree of one cut for every supplier."""
+    line = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")
+    model = Mo.fit_by_category("decision_tree", line, "l_suppkey", "l_extendedprice", ["l_quantity"], {"maxDepth": 1})
+    out = Mo.predict_by_category(model, line, "l_suppkey")
+    return out.select("l_orderkey", "l_linenumber", "l_suppkey", r("prediction", 2).alias("prediction"))
+
+
+@query("n13_forest_by_category")
+def forest_per_category(spark, d):
+    """A forest for every market segment; its draws have no SQL form, the tests hold trees against brute force."""
+    rows = load(spark, d, "customer").withColumn("nation", F.col("c_nationkey").cast("double"))
+    model = Mo.fit_by_category("random_forest", rows, "c_mktsegment", "c_acctbal", ["nation", "c_custkey"], {"numTrees": 4, "maxDepth": 2})
+    return Mo.predict_by_category(model, rows, "c_mktsegment").select("c_custkey", "c_mktsegment", r("prediction", 3).alias("prediction"))
 
 
 @query("n13_linear_by_category", """

@@ -7,9 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 import math
 import random
 
-import numpy as np
-import pandas as pd
-from pyspark.ml import Pipeline, Transformer
+from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     FMClassifier,
@@ -26,11 +24,43 @@ from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
-from ..plans.skew import lookup_join
 from .blend import oof_table, stack_features
+from .grams import centred, gram, solve_bayesian
+from .grouped_fits import CategoryModel, fit_by_category, linear_by_category, predict_linear_by_category  # noqa: F401
 from .select import assemble
 from .split import add_fold
 
+
+class LinearFit(Model):
+    """Coefficients found by evidence iteration; adds ``prediction`` from a vector column."""
+
+    def __init__(self, coefficients, intercept: float, alpha: float, lam: float, features: str):
+        super().__init__()
+        self.coefficients, self.intercept, self.alpha, self.lam, self.features = coefficients, intercept, alpha, lam, features
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        w = F.array(*[F.lit(float(v)) for v in self.coefficients])
+        parts = F.zip_with(vector_to_array(self.features), w, lambda a, b: a * b)
+        return df.withColumn("prediction", F.aggregate(parts, F.lit(self.intercept), lambda a, v: a + v))
+
+
+class BayesianRidge(Estimator):
+    """Ridge whose penalty and noise are found by maximising the evidence, from the cross products of one pass over the rows."""
+
+    def __init__(self, labelCol: str = "label", featuresCol: str = "features", maxIter: int = 300, tol: float = 1e-3):
+        super().__init__()
+        self.label, self.features, self.rounds, self.tol = labelCol, featuresCol, maxIter, tol
+
+    def _fit(self, df: DataFrame) -> LinearFit:
+        x = vector_to_array(self.features)
+        width = df.select(F.size(x)).first()[0]
+        wide = df.select(*[x[i].alias(f"x{i}") for i in range(width)], F.col(self.label).cast("double").alias("y"))
+        g, _ = gram(wide, wide.columns)
+        n, mean, centre, xx, xy, yy = centred(g)
+        w, alpha, lam = solve_bayesian(xx, xy, n, yy, self.rounds, self.tol)
+        return LinearFit(w, float(centre - mean @ w), alpha, lam, self.features)
+
+
 CLASSIFIERS = {
     "logistic": LogisticRegression,
     "sgd_log": LogisticRegression,
@@ -47,7 +77,7 @@ BINARY_ONLY = {"linear_svm", "sgd_hinge", "boosted_trees", "adaboost", "factoriz
 REGRESSORS = {
     "linear": (LinearRegression, {}),
     "ridge": (LinearRegression, {"regParam": 0.1, "elasticNetParam": 0.0}),
-    "bayesian_ridge": (LinearRegression, {"regParam": 0.1, "elasticNetParam": 0.0}),
+    "bayesian_ridge": (BayesianRidge, {}),
     "lasso": (LinearRegression, {"regParam": 0.1, "elasticNetParam": 1.0}),
     "decision_tree": (DecisionTreeRegressor, {}),
     "random_forest": (RandomForestRegressor, {}),
@@ -156,58 +186,9 @@ def validation_curve(make: Callable, values: Sequence, df: DataFrame, key: str,
     return df.sparkSession.createDataFrame(out, "param string, fold int, score double")
 
 
-def fit_by_category(name: str, df: DataFrame, category: str, y: str, cols: Sequence[str], params: Mapping | None = None):
-    """One distributed fit per category value; returns {value: model}. A category of any size is fitted by Spark."""
-    from .encoding import category_values
-
-    values = category_values(df, category, 200)
-    with ThreadPoolExecutor(2) as pool:
-        models = list(pool.map(lambda v: fit_regressor(name, assemble(df.filter(F.col(category) == v), cols), y, params), values))
-    return dict(zip(values, models))
-
-
-def predict_by_category(models: Mapping, df: DataFrame, category: str, cols: Sequence[str]) -> DataFrame:
-    """Predictions by each row's own model; rows whose category is null or has no model keep a null prediction."""
-    known = F.col(category).isin(list(models)) if models else F.lit(False)
-    out = df.filter(~F.coalesce(known, F.lit(False))).withColumn("prediction", F.lit(None).cast("double"))
-    for v, m in models.items():
-        own = assemble(df.filter(F.col(category) == v), cols)
-        out = out.unionByName(m.transform(own).select(*df.columns, "prediction"))
-    return out
-
-
-def linear_by_category(df: DataFrame, category: str, y: str, cols: Sequence[str], ridge: float = 0.0) -> DataFrame:
-    """(category, n, intercept, weights): least squares for every category, any number of them, in one aggregate. Each category
-    is reduced to its sums of products before the shuffle, so a large one costs no more than a small one. Rows with a null
-    in ``y`` or ``cols`` are passed over; a singular system takes the shortest solution."""
-    cols = list(cols)
-    x = [F.lit(1.0), *[F.col(c).cast("double") for c in cols], F.col(y).cast("double")]
-    size = len(x)
-    complete = df.dropna(subset=[y, *cols])
-    cells = [(i, j) for i in range(size) for j in range(i, size)]
-    sums = complete.groupBy(F.col(category).alias("category")).agg(*[F.sum(x[i] * x[j]).alias(f"s_{i}_{j}") for i, j in cells])
-    kind = df.schema[category].dataType.simpleString()
-
-    def solve(parts):
-        for part in parts:
-            gram = np.zeros((len(part), size, size))
-            for i, j in cells:
-                gram[:, i, j] = gram[:, j, i] = part[f"s_{i}_{j}"].to_numpy("f8")
-            left = gram[:, :-1, :-1] + np.diag([0.0] + [ridge] * len(cols))
-            w = np.einsum("nij,nj->ni", np.linalg.pinv(left, hermitian=True), gram[:, :-1, -1])
-            yield pd.DataFrame({"category": part["category"], "n": gram[:, 0, 0].astype("i8"), "intercept": w[:, 0], "weights": list(w[:, 1:])})
-
-    return sums.mapInPandas(solve, f"category {kind}, n long, intercept double, weights array<double>")
-
-
-def predict_linear_by_category(models: DataFrame, df: DataFrame, category: str, cols: Sequence[str], name: str = "prediction") -> DataFrame:
-    """Predictions from the table of ``linear_by_category``; null where the category is null or has no model."""
-    table = models.select(F.col("category").alias(category), F.col("intercept").alias("__b"), F.col("weights").alias("__w"))
-    rows = lookup_join(df, table, [category], salt_on=df.columns)
-    total = F.col("__b")
-    for i, c in enumerate(cols):
-        total = total + F.col("__w")[i] * F.col(c).cast("double")
-    return rows.withColumn(name, total).select(*df.columns, name)
+def predict_by_category(model: CategoryModel, df: DataFrame, category: str, name: str = "prediction") -> DataFrame:
+    """Predictions by each row's own model; see ``fit_by_category``."""
+    return model.transform(df, category, name)
 
 
 class ColumnStep(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):

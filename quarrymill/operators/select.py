@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..plans.ordering import running_sums
 from .columns import distinct_counts, numeric_cols
+from .grams import centred, gram, lars_path
 from .profile import correlated_pairs, missing_report, unique_report
 
 
@@ -145,19 +146,6 @@ def importance_table(df: DataFrame, names: Sequence[str], values: Sequence[float
     return run.select("feature", "importance", "normalized", F.col("cum_normalized").alias("cumulative"))
 
 
-def _gram(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, int]:
-    """Cross products of the columns and a constant in one aggregate; a small matrix reaches the driver."""
-    names = ["__one", *cols]
-    rows = df.select(F.lit(1.0).alias("__one"), *[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
-    aggs = [F.sum(F.col(a) * F.col(b)).alias(f"g{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if i <= j]
-    row = rows.agg(*aggs).first()
-    g = np.zeros((len(names), len(names)))
-    for i in range(len(names)):
-        for j in range(i, len(names)):
-            g[i, j] = g[j, i] = row[f"g{i}_{j}"]
-    return g, int(g[0, 0])
-
-
 def _t_tail(t: float, dof: int) -> float:
     """Two-sided tail of Student's t by the continued fraction of the incomplete beta function."""
     x = dof / (dof + t * t)
@@ -198,25 +186,49 @@ def ols_pvalues(gram: np.ndarray, n: int, xs: Sequence[int], y: int) -> np.ndarr
     return np.array([_t_tail(float(t), dof) for t in (beta / errors)[1:]])
 
 
-def stepwise(df: DataFrame, y: str, cols: Sequence[str], p_in: float = 0.01, p_out: float = 0.05) -> list[str]:
-    """Forward and backward selection by p-value; the data is read once, every fit uses the same cross products."""
-    gram, n = _gram(df, [*cols, y])
-    target, included = len(cols) + 1, []
-    for _ in range(4 * len(cols) + 4):
-        changed = False
-        candidates = [i for i in range(1, len(cols) + 1) if i not in included]
-        scored = [(ols_pvalues(gram, n, [*included, i], target)[-1], i) for i in candidates]
-        if scored and min(scored)[0] < p_in:
-            included.append(min(scored)[1])
-            changed = True
-        if included:
-            p = ols_pvalues(gram, n, included, target)
-            if p.max() > p_out:
-                included.pop(int(p.argmax()))
-                changed = True
-        if not changed:
+def stepwise(df: DataFrame, y: str, cols: Sequence[str], p_in: float = 0.01, p_out: float = 0.05) -> DataFrame:
+    """(feature, place, coefficient, p_value) of forward and backward selection by p-value, in the order of entry. The data is read
+    once, every fit uses the same cross products. A column enters while the best one outside is below ``p_in``, and the
+    worst one inside leaves above ``p_out``; a set that was there before would come again, so it ends the search."""
+    products, n = gram(df, [*cols, y])
+    target, chosen, visited = len(cols) + 1, (), set()
+    while chosen not in visited:
+        visited.add(chosen)
+        outside = [i for i in range(1, target) if i not in chosen]
+        p, best = min(((ols_pvalues(products, n, [*chosen, i], target)[-1], i) for i in outside), default=(1.0, 0))
+        if p < p_in:
+            chosen = (*chosen, best)
+        if chosen:
+            inside = ols_pvalues(products, n, chosen, target)
+            if inside.max() > p_out:
+                chosen = chosen[: inside.argmax()] + chosen[inside.argmax() + 1 :]
+    at = [0, *chosen]
+    beta = np.linalg.pinv(products[np.ix_(at, at)]) @ products[at, target]
+    inside = ols_pvalues(products, n, chosen, target) if chosen else []
+    rows = [(cols[i - 1], k + 1, float(b), float(p)) for k, (i, b, p) in enumerate(zip(chosen, beta[1:], inside))]
+    return df.sparkSession.createDataFrame(rows, "feature string, place int, coefficient double, p_value double")
+
+
+def select_lars(df: DataFrame, y: str, cols: Sequence[str], penalty: float | None = None, most: int | None = None, drop: bool = True) -> DataFrame:
+    """(feature, place, coefficient) by the least-angle path: columns in order of entry with their coefficients where the path's
+    penalty has fallen to ``penalty``, or where ``most`` columns are in (else at its end). ``drop`` makes it the lasso's path."""
+    products, n = gram(df, [*cols, y])
+    _, _, _, xx, xy, _ = centred(products)
+    path = lars_path(xx, xy, n, drop)
+    entered: list[int] = []
+    now = path[0][1]
+    for (high, before), (low, after) in zip(path, path[1:]):
+        if penalty is not None and low < penalty:
+            now = before + (after - before) * max(0.0, high - penalty) / (high - low)
+        elif most is not None and np.count_nonzero(after) > most:
+            break
+        else:
+            now = after
+        entered += [j for j in np.flatnonzero(now) if j not in entered]
+        if penalty is not None and low < penalty:
             break
-    return [cols[i - 1] for i in included]
+    rows = [(cols[j], k + 1, float(now[j])) for k, j in enumerate(j for j in entered if now[j] != 0)]
+    return df.sparkSession.createDataFrame(rows, "feature string, place int, coefficient double")
 
 
 def select_lasso(df: DataFrame, y: str, cols: Sequence[str], reg: float = 0.1) -> list[str]:
@@ -228,18 +240,49 @@ def select_lasso(df: DataFrame, y: str, cols: Sequence[str], reg: float = 0.1) -
     return [c for c, v in zip(cols, model.coefficients.toArray()) if v != 0]
 
 
-def rfe(df: DataFrame, y: str, cols: Sequence[str], n: int, estimator=None, step: int = 1) -> list[str]:
-    """Fit, drop the least important columns, repeat until ``n`` are left."""
+def _weakest(model, cols: Sequence[str], step: int) -> set[str]:
+    """The least important columns of a fitted model, ties by name."""
+    weight = model.featureImportances.toArray() if hasattr(model, "featureImportances") else np.abs(model.coefficients.toArray())
+    return set(sorted(cols, key=lambda c: (weight[list(cols).index(c)], c))[:step])
+
+
+def elimination_path(df: DataFrame, y: str, cols: Sequence[str], least: int = 1, estimator=None, step: int = 1):
+    """[(columns, model)] from all columns down to ``least``: fit, drop the ``step`` least important, fit again."""
     from pyspark.ml.classification import DecisionTreeClassifier
 
-    kept = list(cols)
-    while len(kept) > n:
-        est = (estimator or DecisionTreeClassifier(maxDepth=5, seed=7)).copy().setLabelCol(y).setFeaturesCol("features")
-        model = est.fit(assemble(df, kept))
-        weight = model.featureImportances.toArray() if hasattr(model, "featureImportances") else np.abs(model.coefficients.toArray())
-        drop = sorted(range(len(kept)), key=lambda i: (weight[i], kept[i]))[: min(step, len(kept) - n)]
-        kept = [c for i, c in enumerate(kept) if i not in drop]
-    return kept
+    base = (estimator or DecisionTreeClassifier(maxDepth=5, seed=7)).copy().setLabelCol(y).setFeaturesCol("features")
+    kept, path = list(cols), []
+    while True:
+        model = base.fit(assemble(df, kept))
+        path.append((tuple(kept), model))
+        if len(kept) <= least:
+            return path
+        gone = _weakest(model, kept, min(step, len(kept) - least))
+        kept = [c for c in kept if c not in gone]
+
+
+def rfe(df: DataFrame, y: str, cols: Sequence[str], n: int, estimator=None, step: int = 1) -> list[str]:
+    """Fit, drop the least important columns, repeat until ``n`` are left."""
+    return list(elimination_path(df, y, cols, n, estimator, step)[-1][0])
+
+
+def rfe_grid(df: DataFrame, key: str, y: str, cols: Sequence[str], evaluator, folds: int = 3, least: int = 1, estimator=None, step: int = 1):
+    """(columns, table): elimination with the number of columns chosen by cross validation. Every fold walks one path on its
+    training rows and scores the model of each size on its held-out rows; the size of best mean score (the smaller one on
+    ties) is then reached on all rows. ``table``: n, score, deviation, chosen."""
+    from .split import add_fold
+
+    rows = add_fold(df, key, folds, y).cache()
+    scores: dict[int, list[float]] = {}
+    for fold in range(folds):
+        test = rows.filter(F.col("fold") == fold)
+        for kept, model in elimination_path(rows.filter(F.col("fold") != fold), y, cols, least, estimator, step):
+            scores.setdefault(len(kept), []).append(evaluator.evaluate(model.transform(assemble(test, kept))))
+    rows.unpersist()
+    sign = 1 if evaluator.isLargerBetter() else -1
+    best = min(scores, key=lambda n: (-sign * np.mean(scores[n]), n))
+    table = [(n, float(np.mean(s)), float(np.std(s)), int(n == best)) for n, s in sorted(scores.items())]
+    return rfe(df, y, cols, best, estimator, step), df.sparkSession.createDataFrame(table, "n int, score double, deviation double, chosen int")
 
 
 def pca_block(df: DataFrame, cols: Sequence[str], k: int, prefix: str = "pc") -> DataFrame:

@@ -214,7 +214,10 @@ def test_stepwise_and_pvalues(spark):
     x = rng.normal(size=(300, 3))
     y = 2 * x[:, 0] - x[:, 2] + rng.normal(size=300)
     df = spark.createDataFrame([tuple(map(float, [*r, t])) for r, t in zip(x, y)], "a double, b double, c double, y double")
-    assert select.stepwise(df, "y", ["a", "b", "c"]) == ["a", "c"]
+    found = select.stepwise(df, "y", ["a", "b", "c"]).orderBy("place").collect()
+    assert [r["feature"] for r in found] == ["a", "c"] and all(r["p_value"] < 1e-6 for r in found)
+    assert [r["coefficient"] for r in found] == pytest.approx([2, -1], abs=0.2)
+    assert select.stepwise(df, "y", []).count() == 0
     assert select._t_tail(2.0, 10) == pytest.approx(0.07338803, abs=1e-7)
     assert select._t_tail(0.5, 3) == pytest.approx(0.6514480, abs=1e-6)
 

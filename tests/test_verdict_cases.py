@@ -53,7 +53,7 @@ def test_boxcox_bracket_moves(spark, power):
 def test_rows_without_a_model_stay(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 2.0, 4.0), ("a", 3.0, 6.0), (None, 1.0, 1.0), ("z", 1.0, 1.0)], "k string, x double, y double")
     fitted = models.fit_by_category("linear", df.filter("k = 'a'"), "k", "y", ["x"])
-    assert models.predict_by_category(fitted, df, "k", ["x"]).filter("prediction IS NULL").count() == 2
+    assert models.predict_by_category(fitted, df, "k").filter("prediction IS NULL").count() == 2
     table = models.linear_by_category(df.filter("k = 'a'"), "k", "y", ["x"])
     out = models.predict_linear_by_category(table, df, "k", ["x"])
     assert sorted((str(r.k), r.prediction if r.prediction is None else round(r.prediction, 6)) for r in out.collect()) == [
