@@ -92,33 +92,33 @@ def vocab_specials(spark, d):
 @query("o11_encode_skip", VOCAB + """
 , p AS (SELECT doc_id, unnest(w) AS token, unnest(range(0, len(w))) AS pos FROM t), e AS (SELECT doc_id, list(id ORDER BY pos) AS ids FROM p JOIN v USING (token) GROUP BY 1),
 a AS (SELECT t.doc_id, coalesce(ids, []) AS ids FROM t LEFT JOIN e USING (doc_id))
-SELECT doc_id, array_to_string(list_concat(ids[1:300], list_transform(range(0, greatest(300 - len(ids), 0)), lambda i: 0)), ',') AS ids FROM a""")
+SELECT doc_id, array_to_string(list_concat(ids[1:1000], list_transform(range(0, greatest(1000 - len(ids), 0)), lambda i: 0)), ',') AS ids FROM a""")
 def encode_skip(spark, d):
     docs = load(spark, d, "documents")
-    out = C.encode_skip(docs, "doc_id", words(), C.build_vocab(docs, words()), maxlen=300)
+    out = C.encode_skip(docs, "doc_id", words(), C.build_vocab(docs, words()), maxlen=1000)
     return out.select("doc_id", F.array_join("ids", ",").alias("ids"))
 
 
 @query("o12_encode_unk", COUNTS + """
 , v AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) + 3 AS id FROM c WHERE n > 4), p AS (SELECT doc_id, unnest(w) AS token, unnest(range(0, len(w))) AS pos FROM t),
 e AS (SELECT doc_id, list(coalesce(id, 1) ORDER BY pos) AS ids FROM p LEFT JOIN v USING (token) GROUP BY 1), a AS (SELECT t.doc_id, coalesce(ids, []) AS ids FROM t LEFT JOIN e USING (doc_id)),
-s AS (SELECT doc_id, list_concat(ids[1:99], [3]) AS ids FROM a)
-SELECT doc_id, CAST(len(ids) AS INTEGER) AS length, array_to_string(list_concat(ids, list_transform(range(0, 100 - len(ids)), lambda i: 0)), ',') AS ids FROM s""")
+s AS (SELECT doc_id, list_concat(ids[1:999], [3]) AS ids FROM a)
+SELECT doc_id, CAST(len(ids) AS INTEGER) AS length, array_to_string(list_concat(ids, list_transform(range(0, 1000 - len(ids)), lambda i: 0)), ',') AS ids FROM s""")
 def encode_unk(spark, d):
     docs = load(spark, d, "documents")
     vocab = C.build_vocab(docs, words(), above=4, specials=C.SPECIALS)
-    out = C.encode_unk(docs, "doc_id", words(), vocab, maxlen=100)
+    out = C.encode_unk(docs, "doc_id", words(), vocab, maxlen=1000)
     return out.select("doc_id", "length", F.array_join("ids", ",").alias("ids"))
 
 
 @query("o13_decode", COUNTS + """
 , p AS (SELECT doc_id, unnest(w) AS token, unnest(range(0, len(w))) AS pos FROM t),
-e AS (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS text FROM p JOIN c USING (token) WHERE n > 4 AND pos < 99 GROUP BY 1)
+e AS (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS text FROM p JOIN c USING (token) WHERE n > 4 AND pos < 999 GROUP BY 1)
 SELECT t.doc_id, coalesce(text, '') AS text FROM t LEFT JOIN e USING (doc_id)""")
 def decode(spark, d):
     docs = load(spark, d, "documents")
     vocab = C.build_vocab(docs, words(), above=4, specials=C.SPECIALS)
-    encoded = C.encode_unk(docs, "doc_id", words(), vocab, maxlen=100)
+    encoded = C.encode_unk(docs, "doc_id", words(), vocab, maxlen=1000)
     return C.decode(encoded, "doc_id", "ids", vocab)
 
 
@@ -250,8 +250,11 @@ def align(spark, d):
 
 
 @query("o23_cooccurrence", COUNTS + """
-, p AS (SELECT doc_id, token, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM (SELECT doc_id, unnest(w) AS token, unnest(range(0, len(w))) AS pos FROM t) JOIN c USING (token) WHERE n >= 50)
-SELECT least(a.token, b.token) AS a, greatest(a.token, b.token) AS b, round(sum(1.0 / (b.i - a.i)), 5) AS weight FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.i > a.i AND b.i <= a.i + 5 GROUP BY 1, 2""")
+, p AS (SELECT doc_id, token, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM (SELECT doc_id, unnest(w) AS token, unnest(range(0, len(w))) AS pos FROM t) JOIN c USING (token) WHERE n >= 2),
+g AS (SELECT doc_id, token, i, unnest(range(1, 16)) AS gap FROM p),
+m AS (SELECT least(g.token, b.token) AS a, greatest(g.token, b.token) AS b, sum(1.0 / gap) AS weight FROM g JOIN p b ON b.doc_id = g.doc_id AND b.i = g.i + g.gap GROUP BY 1, 2)
+SELECT a, count(*) AS partners, round(sum(weight), 4) AS weight FROM m GROUP BY 1""")
 def cooccurrence(spark, d):
-    out = C.cooccurrence(load(spark, d, "documents"), "doc_id", words(), window=5, min_count=50)
-    return out.withColumn("weight", r("weight", 5))
+    """All pairs of words with two occurrences within 15 places, told by their first word."""
+    out = C.cooccurrence(load(spark, d, "documents"), "doc_id", words(), window=15, min_count=2)
+    return out.groupBy("a").agg(F.count(F.lit(1)).alias("partners"), r(F.sum("weight"), 4).alias("weight"))

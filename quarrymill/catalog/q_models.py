@@ -28,7 +28,7 @@ def vectors(spark, d):
     return Mo.vectorise(load(spark, d, "embeddings"), "embedding").withColumn("label", F.col("label").cast("double"))
 
 
-def wide_vectors(spark, d, n=8):
+def wide_vectors(spark, d, n=64):
     return S.explode_vector(load(spark, d, "embeddings"), "embedding", n)
 
 
@@ -37,11 +37,11 @@ def _fitted(df, key, prediction="prediction"):
 
 
 @query("n01_anova_f", """
-WITH x AS (SELECT label, unnest(range(0, 8)) AS i, unnest(CAST(embedding AS DOUBLE[])[1:8]) AS v FROM embeddings),
+WITH x AS (SELECT label, unnest(range(0, 64)) AS i, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings),
 c AS (SELECT i, label, count(*) AS n, avg(v) AS m, var_pop(v) * count(*) AS w FROM x GROUP BY 1, 2), g AS (SELECT i, avg(v) AS gm FROM x GROUP BY 1)
 SELECT 'x' || i AS feature, round((sum(n * (m - gm) ** 2) / (count(*) - 1)) / (sum(w) / (sum(n) - count(*))), 5) AS f_value FROM c JOIN g USING (i) GROUP BY i""")
 def anova(spark, d):
-    return S.anova_f(wide_vectors(spark, d), "label", [f"x{i}" for i in range(8)]).withColumn("f_value", r("f_value", 5))
+    return S.anova_f(wide_vectors(spark, d), "label", [f"x{i}" for i in range(64)]).withColumn("f_value", r("f_value", 5))
 
 
 def _names(df, names):
@@ -52,7 +52,7 @@ def _names(df, names):
 @query("n01_select_k_best")
 def k_best(spark, d):
     df = wide_vectors(spark, d)
-    return _names(df, S.select_k_best(df, "label", [f"x{i}" for i in range(8)], 3))
+    return _names(df, S.select_k_best(df, "label", [f"x{i}" for i in range(64)], 3))
 
 
 @query("n01_select_k_best_chi2")
@@ -121,7 +121,7 @@ def rfe_grid(spark, d):
 
 @query("n07_pca")
 def pca(spark, d):
-    out = S.pca_block(wide_vectors(spark, d, 16), [f"x{i}" for i in range(16)], 3)
+    out = S.pca_block(wide_vectors(spark, d), [f"x{i}" for i in range(64)], 3)
     return out.select("vec_id", "label", *[r(F.abs(f"pc{i}"), 3).alias(f"pc{i}") for i in range(3)])
 
 

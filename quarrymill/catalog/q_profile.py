@@ -71,7 +71,7 @@ def pivot_percent(spark, d):
 @query("f14_crosstab", """
 SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS "F", count(*) FILTER (WHERE o_orderstatus = 'O') AS "O", count(*) FILTER (WHERE o_orderstatus = 'P') AS "P" FROM orders GROUP BY 1""")
 def crosstab(spark, d):
-    return P.crosstab(load(spark, d, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
+    return P.crosstab(load(spark, d, "orders"), "o_orderpriority", "o_orderstatus")
 
 
 @query("f15_group_share", "SELECT o_orderpriority, o_orderstatus, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY o_orderpriority), 6) AS share FROM orders GROUP BY 1, 2")

@@ -30,10 +30,10 @@ def tsv_scan(spark, d):
     return R.read_tsv(spark, f"{path}/part-*", nation.schema)
 
 
-@query("a03_parquet_scan", "SELECT l_orderkey, l_linenumber, round(l_quantity, 4) AS l_quantity FROM lineitem WHERE l_quantity > 45")
+@query("a03_parquet_scan", "SELECT l_orderkey, l_linenumber, round(l_quantity, 4) AS l_quantity FROM lineitem")
 def parquet_scan(spark, d):
     line = R.read_parquet(spark, f"{d}/lineitem.parquet", ["l_orderkey", "l_linenumber", "l_quantity"])
-    path = S.write_parquet(line.filter("l_quantity > 45"), scratch_path(spark, "lineitem"))
+    path = S.write_parquet(line, scratch_path(spark, "lineitem"))
     return R.read_parquet(spark, path).withColumn("l_quantity", r("l_quantity", 4))
 
 

@@ -51,7 +51,7 @@ def shuffle(spark, d):
 
 @query("k07_append_pseudo", f"""
 SELECT doc_id, CAST(quality AS DOUBLE) AS label, 0 AS pseudo FROM labels UNION ALL
-SELECT doc_id, round({h32('doc_id', 'soft')} / 4294967296.0, 6), 1 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND (doc_id >= 0 AND doc_id < 100 OR doc_id >= 150 AND doc_id < 100000)""")
+SELECT doc_id, round({h32('doc_id', 'soft')} / 4294967296.0, 6), 1 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND (doc_id >= 0 AND doc_id < 100 OR doc_id >= 150)""")
 def pseudo(spark, d):
     from ..functions.hashing import key_uniform
 
@@ -59,7 +59,7 @@ def pseudo(spark, d):
     train = labels.select("doc_id", F.col("quality").cast("double").alias("label"))
     rest = docs.select("doc_id").join(labels, "doc_id", "left_anti")
     soft = rest.select("doc_id", r(key_uniform("doc_id", "soft")).alias("label"))
-    return S.append_pseudo(train, rest, soft, "doc_id", [(0, 100), (150, 100000)])
+    return S.append_pseudo(train, rest, soft, "doc_id", [(0, 100), (150, None)])
 
 
 @query("k08_undersample", f"""

@@ -44,12 +44,12 @@ def shuffle_rows(df: DataFrame, key: str, seed: str = "shuffle") -> DataFrame:
 
 
 def append_pseudo(
-    train: DataFrame, unlabelled: DataFrame, soft: DataFrame, key: str, ranges: Sequence[tuple[int, int]], label: str = "label"
+    train: DataFrame, unlabelled: DataFrame, soft: DataFrame, key: str, ranges: Sequence[tuple[int, int | None]], label: str = "label"
 ) -> DataFrame:
-    """Training rows plus the unlabelled rows of the key ranges with their soft labels."""
+    """Training rows plus the unlabelled rows of the key ranges (no upper end: all from there on) with their soft labels."""
     inside = F.lit(False)
     for low, high in ranges:
-        inside = inside | ((F.col(key) >= low) & (F.col(key) < high))
+        inside = inside | ((F.col(key) >= low) & (F.lit(True) if high is None else F.col(key) < high))
     added = unlabelled.filter(inside).join(soft.select(key, label), key)
     return train.withColumn("pseudo", F.lit(0)).unionByName(added.withColumn("pseudo", F.lit(1)), allowMissingColumns=True)
 

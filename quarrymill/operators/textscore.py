@@ -41,6 +41,31 @@ def read_scored_files(spark, hyp_path: str, ref_paths: Sequence[str]) -> DataFra
     return pair_streams(number_lines(spark, hyp_path), [number_lines(spark, p) for p in ref_paths], "line", "value")
 
 
+def write_numbered_files(df: DataFrame, folder: str, streams: int) -> tuple[str, list[str]]:
+    """(id, hyp, refs) rows as text: a folder of hypotheses and one per reference stream, lines ``id<TAB>text`` in as many files as
+    there are partitions. A row without a reference in a stream has no line there."""
+    df = materialise(df)
+    paths = []
+    for name, text in [("hyp", F.col("hyp")), *[(f"ref{i}", F.get("refs", F.lit(i))) for i in range(streams)]]:
+        lines = df.select(F.concat_ws("\t", F.col("id").cast("string"), text).alias("value"), text.alias("t")).filter("t IS NOT NULL")
+        lines.select("value").write.text(f"{folder}/{name}")
+        paths.append(f"{folder}/{name}")
+    return paths[0], paths[1:]
+
+
+def read_numbered_files(spark, hyp_path: str, ref_paths: Sequence[str]) -> DataFrame:
+    """(id, hyp, refs) from files of ``id<TAB>text`` lines in any order; references in the order of the streams that have one."""
+
+    def lines(path):
+        parts = F.split("value", "\t", 2)
+        return spark.read.text(path).select(parts[0].cast("long").alias("id"), strip(parts[1]).alias("text"))
+
+    out = lines(hyp_path).withColumnRenamed("text", "hyp")
+    for i, path in enumerate(ref_paths):
+        out = out.join(lines(path).withColumnRenamed("text", f"__r{i}"), "id", "left")
+    return out.select("id", "hyp", F.array_compact(F.array(*[f"__r{i}" for i in range(len(ref_paths))])).alias("refs"))
+
+
 def gram_counts(df: DataFrame, key: Sequence[str], words: Column, n: int = 4) -> DataFrame:
     """Counts of all n-grams up to ``n`` per key."""
     base = df.select(*key, words.alias("__w"))
