@@ -93,6 +93,27 @@ def factorize(spark, d):
     return E.factorize(line, ["l_linestatus", "l_returnflag"])
 
 
+@query("e08_one_hot_sparse", """
+WITH l AS (SELECT c_custkey, 1 AS b, 'c_name_' || c_name AS name, c_name AS v FROM customer UNION ALL SELECT c_custkey, 2, 'c_mktsegment_' || c_mktsegment, c_mktsegment FROM customer),
+k AS (SELECT b, v, row_number() OVER (ORDER BY b, v) - 1 AS index FROM (SELECT DISTINCT b, v FROM l))
+SELECT c_custkey, index, name FROM l JOIN k USING (b, v)""")
+def one_hot_sparse(spark, d):
+    """A column of as many values as rows, and one of few."""
+    rows, names = E.one_hot_sparse(load(spark, d, "customer"), "c_custkey", ["c_name", "c_mktsegment"])
+    return rows.select("c_custkey", F.explode("indices").alias("index")).join(names, "index").select("c_custkey", "index", "name")
+
+
+@query("e09_factorize_sparse", """
+WITH l AS (SELECT o_orderkey AS k, o_totalprice > 150000 AS s, o_orderstatus AS f, o_custkey AS p FROM orders),
+a AS (SELECT f, row_number() OVER (ORDER BY f) AS i FROM (SELECT DISTINCT f FROM l)), n AS (SELECT count(*) AS n FROM a),
+b AS (SELECT p, n.n + row_number() OVER (ORDER BY CAST(p AS VARCHAR)) AS i FROM (SELECT DISTINCT p FROM l), n)
+SELECT k, array_to_string(list_concat(CASE WHEN s THEN [0] ELSE [] END, [a.i, b.i]), ',') AS ones FROM l JOIN a USING (f) JOIN b USING (p)""")
+def factorize_sparse(spark, d):
+    orders = load(spark, d, "orders").withColumn("large", F.when(F.col("o_totalprice") > 150000, "yes").otherwise("no"))
+    rows, _ = E.factorize_sparse(orders, "o_orderkey", ["large", "o_orderstatus", "o_custkey"])
+    return rows.select(F.col("o_orderkey").alias("k"), F.array_join(F.col("indices").cast("array<string>"), ",").alias("ones"))
+
+
 @query("e10_binary_encode", """
 WITH t AS (SELECT o_orderpriority AS v, dense_rank() OVER (ORDER BY o_orderpriority) AS c FROM (SELECT DISTINCT o_orderpriority FROM orders))
 SELECT o_orderkey, CAST((c >> 2) & 1 AS INTEGER) AS o_orderpriority_0, CAST((c >> 1) & 1 AS INTEGER) AS o_orderpriority_1, CAST(c & 1 AS INTEGER) AS o_orderpriority_2 FROM orders JOIN t ON o_orderpriority = v""")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.text import tokens
 from ..operators import models as Mo
 from ..operators import select as S
+from ..operators import userfn as U
 from ..plans.session import scratch_path
 from .registry import load, query, r
 
@@ -188,7 +189,7 @@ def random_search(spark, d):
     rows = S.assemble(doc_features(spark, d), DOC_COLS)
     space = {"maxDepth": [2, 5], "minInfoGain": [1e-4, 1e-2, "log-uniform"], "impurity": ["gini", "entropy", "list"]}
     train, valid = rows.filter("doc_id % 4 <> 0"), rows.filter("doc_id % 4 = 0")
-    _, table = Mo.random_search(lambda p: Mo.make_classifier("decision_tree", "quality", p), space, 3, train, valid, _auc().evaluate)
+    _, table = Mo.random_search(lambda p: Mo.make_classifier("decision_tree", "quality", p), space, 3, train, valid, _auc())
     return table.select("run", "params", r("score", 3).alias("score"), "best")
 
 
@@ -280,9 +281,59 @@ def group_function(spark, d):
     return out.withColumn("rms", r("rms", 3))
 
 
-@query("t02_cell_function", "SELECT c_custkey, upper(c_mktsegment) || '-' || c_nationkey AS tag FROM customer")
+@query("t02_cell_function", "SELECT c_custkey, upper(c_mktsegment) || '-' || length(c_mktsegment) AS tag FROM customer")
 def cell_function(spark, d):
-    return load(spark, d, "customer").transform(lambda df: df.select("c_custkey", F.concat_ws("-", F.upper("c_mktsegment"), "c_nationkey").alias("tag")))
+    return U.map_cells(load(spark, d, "customer"), "c_mktsegment", lambda v: f"{v.upper()}-{len(v)}", "string", "tag").select("c_custkey", "tag")
+
+
+@query("t02_row_function", "SELECT c_custkey, CASE WHEN c_nationkey % 2 = 0 THEN c_mktsegment ELSE c_name END AS tag FROM customer")
+def row_function(spark, d):
+    pick = lambda row: row["c_name"] if row["c_nationkey"] % 2 else row["c_mktsegment"]
+    return U.apply_rows(load(spark, d, "customer"), ["c_nationkey", "c_name", "c_mktsegment"], pick, "string", "tag").select("c_custkey", "tag")
+
+
+@query("t04_function_steps", "SELECT o_orderkey, round(ln(1 + o_totalprice), 6) AS log_price, o_orderpriority[1:1] AS level FROM orders WHERE o_orderstatus <> 'P'")
+def function_steps(spark, d):
+    """Functions wrapped as steps, saved and loaded with their pipeline."""
+    from pyspark.ml import PipelineModel
+
+    orders = load(spark, d, "orders")
+    steps = [
+        U.FunctionStep(lambda df: df.filter("o_orderstatus <> 'P'")),
+        U.FunctionStep(lambda df: df.withColumn("level", F.substring("o_orderpriority", 1, 1))),
+        Mo.ColumnStep("o_totalprice", "log_price", "log1p"),
+    ]
+    path = scratch_path(spark, "steps")
+    Mo.fit_steps(orders, steps).write().overwrite().save(path)
+    return PipelineModel.load(path).transform(orders).select("o_orderkey", r("log_price").alias("log_price"), "level")
+
+
+@query("t05_evaluator", """
+SELECT 'abs_error' AS score, round(avg(abs(l_extendedprice - 1000 * l_quantity)), 4) AS value, 0 AS larger_better FROM lineitem
+UNION ALL SELECT 'hits', avg(CAST(l_quantity > 25 AS INTEGER)), 1 FROM lineitem""")
+def evaluator(spark, d):
+    """Scores with their direction, as grid and random search take them."""
+    line = load(spark, d, "lineitem")
+    scores = {
+        "abs_error": U.FunctionEvaluator(lambda df: df.agg(F.avg(F.abs(F.col("l_extendedprice") - 1000 * F.col("l_quantity")))).first()[0], False),
+        "hits": U.FunctionEvaluator(lambda df: df.agg(F.avg((F.col("l_quantity") > 25).cast("int"))).first()[0]),
+    }
+    rows = [(name, round(e.evaluate(line), 4) if name == "abs_error" else e.evaluate(line), int(e.isLargerBetter())) for name, e in scores.items()]
+    return spark.createDataFrame(rows, "score string, value double, larger_better int")
+
+
+@query("t05_search_direction")
+def search_direction(spark, d):
+    """The same settings searched by an error and by its negative pick the same one."""
+    rows = S.assemble(doc_features(spark, d), DOC_COLS)
+    train, valid = rows.filter("doc_id % 4 <> 0"), rows.filter("doc_id % 4 = 0")
+    error = lambda df: df.agg(F.avg((F.col("prediction") != F.col("quality")).cast("double"))).first()[0]
+    make = lambda p: Mo.make_classifier("decision_tree", "quality", p)
+    space = {"maxDepth": [1, 3, 5, "list"]}
+    _, low = Mo.random_search(make, space, 2, train, valid, U.FunctionEvaluator(error, maximize=False))
+    _, high = Mo.random_search(make, space, 2, train, valid, U.FunctionEvaluator(lambda df: -error(df)))
+    both = low.withColumn("by", F.lit("error")).unionByName(high.withColumn("by", F.lit("negative")))
+    return both.select("by", "run", "params", r("score", 3).alias("score"), "best")
 
 
 @query("t06_partition_function", "SELECT o_orderkey, round(o_totalprice / 7, 8) AS x FROM orders")

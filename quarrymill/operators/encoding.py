@@ -93,7 +93,7 @@ def category_values(df: DataFrame, column: str, most: int = MAX_ONE_HOT) -> list
     """Distinct values for the naming of one-hot columns; a column with more than ``most`` values is refused."""
     rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
     if len(rows) > most:
-        raise ValueError(f"{column} has more than {most} values; use a feature dictionary instead of columns")
+        raise ValueError(f"{column} has more than {most} values; use one_hot_sparse, which has no bound")
     return sorted(r[0] for r in rows)
 
 
@@ -120,6 +120,59 @@ def factorize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df
 
 
+def _sparse(df: DataFrame, key: str, cols: Sequence[str], codes: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """((key, indices), (index, name)) from tables (value, code, name) per column; codes of a column start where the one before
+    ends. An entry of a row without a code stays out."""
+    names, start, parts = None, F.lit(0).cast("long"), []
+    for c in cols:
+        # the number of codes so far is a one-row subquery
+        table = materialise(codes[c].select("value", (F.col("code") + start).alias("index"), F.lit(c).alias("column"), "name"))
+        start = start + Scalars(table, n=F.count_distinct("index"))["n"]
+        parts.append(table)
+        block = table.select("index", "name").filter("name IS NOT NULL").distinct()
+        names = block if names is None else names.unionByName(block)
+    table = parts[0].select("column", "value", "index")
+    for more in parts[1:]:
+        table = table.unionByName(more.select("column", "value", "index"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    long = df.select(key, F.explode(pairs).alias("p")).select(key, "p.*").filter("value IS NOT NULL")
+    found = lookup_join(long, table, ["column", "value"], "inner", [key])
+    lists = found.groupBy(key).agg(F.array_sort(F.collect_list("index")).alias("indices"))
+    empty = F.array().cast("array<bigint>")
+    return df.select(key).join(lists, key, "left").select(key, F.coalesce("indices", empty).alias("indices")), names
+
+
+def one_hot_sparse(df: DataFrame, key: str, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """((key, indices), (index, name)): one-hot encoding of any width. ``indices`` holds the positions of the ones in ascending
+    order, ``name`` is ``<column>_<value>``; positions go by column and then by the text of the value, and are numbered by a
+    distributed sort, so nothing is collected. Nulls have no entry. ``key`` is unique."""
+    texts = df.select(F.col(key).alias("__key"), *[F.col(c).cast("string").alias(c) for c in cols])
+    codes = {}
+    for c in cols:
+        table = value_codes(texts, c).withColumnRenamed(c, "value")
+        codes[c] = table.withColumn("name", F.concat(F.lit(f"{c}_"), "value"))
+    rows, names = _sparse(texts, "__key", cols, codes)
+    return rows.withColumnRenamed("__key", key), names
+
+
+def factorize_sparse(df: DataFrame, key: str, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """As ``one_hot_sparse`` for columns of more than two values; a column of one or two values has one position, named like the
+    column, which holds the higher of two values."""
+    texts = df.select(F.col(key).alias("__key"), *[F.col(c).cast("string").alias(c) for c in cols])
+    wide = {r["feature"]: r["n_unique"] > 2 for r in distinct_counts(texts, cols).collect()}
+    codes = {}
+    for c in cols:
+        table = value_codes(texts, c).withColumnRenamed(c, "value")
+        if wide.get(c):
+            codes[c] = table.withColumn("name", F.concat(F.lit(f"{c}_"), "value"))
+        else:
+            low = texts.sparkSession.createDataFrame([(None, 0, c)], "value string, code long, name string")
+            high = table.filter("code = 1").select("value", (F.col("code") - 1).alias("code"), F.lit(None).cast("string").alias("name"))
+            codes[c] = low.unionByName(high)
+    rows, names = _sparse(texts, "__key", cols, codes)
+    return rows.withColumnRenamed("__key", key), names
+
+
 def binary_encode(df: DataFrame, cols: Sequence[str], salt_on=None) -> DataFrame:
     """Binary digits of the ordinal code, lowest digit last, in columns ``<column>_<place>``."""
     encoder = OrdinalEncoder(cols).fit(df)

@@ -126,34 +126,37 @@ def sample_params(space: Mapping, n: int, seed: int = 0) -> list[dict]:
     return out
 
 
+# what the last element of a longer list asks for: a draw between or among the values before it
+DRAWS = {
+    "choice": lambda rng, values: rng.randrange(int(values[0]), int(values[1])),
+    "list": lambda rng, values: rng.choice(list(values)),
+    "uniform": lambda rng, values: rng.uniform(*values),
+    "log-uniform": lambda rng, values: math.exp(rng.uniform(*map(math.log, values))),
+}
+
+
 def _draw(rng: random.Random, value):
-    mode, values = ("choice", value) if len(value) == 2 else (value[-1], value[:-1])
-    if mode == "list":
-        return rng.choice(list(values))
-    low, high = values
-    if mode == "choice":
-        return rng.randrange(int(low), int(high))
-    if mode == "uniform":
-        return rng.uniform(low, high)
-    if mode == "log-uniform":
-        return math.exp(rng.uniform(math.log(low), math.log(high)))
-    raise ValueError(f"unknown mode {mode}")
+    *values, mode = [*value, "choice"] if len(value) == 2 else value
+    if mode not in DRAWS:
+        raise ValueError(f"unknown mode {mode}")
+    return DRAWS[mode](rng, values)
 
 
 def random_search(
-    make: Callable[[dict], object], space: Mapping, n: int, train: DataFrame, valid: DataFrame, score: Callable[[DataFrame], float],
-    maximize: bool = True, seed: int = 0, parallelism: int = 2,
+    make: Callable[[dict], object], space: Mapping, n: int, train: DataFrame, valid: DataFrame, evaluator, seed: int = 0, parallelism: int = 2,
 ):
-    """Fit sampled settings, score each on the validation rows, return (best model, table of settings and scores)."""
+    """Fit sampled settings, score each on the validation rows by an evaluator and in its direction, return (best model, table of
+    settings and scores); the earlier setting wins ties."""
     settings = sample_params(space, n, seed)
     train, valid = train.cache(), valid.cache()
 
     def run(params: dict):
-        return score(make(params).fit(train).transform(valid))
+        return evaluator.evaluate(make(params).fit(train).transform(valid))
 
     with ThreadPoolExecutor(parallelism) as pool:
         scores = list(pool.map(run, settings))
-    best = (max if maximize else min)(range(n), key=lambda i: (scores[i], -i if maximize else i))
+    sign = 1 if evaluator.isLargerBetter() else -1
+    best = max(range(n), key=lambda i: (sign * scores[i], -i))
     model = make(settings[best]).fit(train)
     rows = [(i, str(sorted(p.items())), float(s), int(i == best)) for i, (p, s) in enumerate(zip(settings, scores))]
     table = train.sparkSession.createDataFrame(rows, "run int, params string, score double, best int")
