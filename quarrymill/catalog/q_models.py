@@ -82,6 +82,29 @@ def selector(spark, d):
     return sel.identify_missing(0.5).identify_single_unique().identify_collinear(0.95).report()
 
 
+# One-hot names and their places among the columns, numbers first
+HOT_SQL = """
+WITH c AS (SELECT c_custkey AS id, c_acctbal, CASE WHEN c_custkey % 3 > 0 THEN c_acctbal * 2 + c_nationkey * 150 END AS twice, c_mktsegment, CAST(c_nationkey AS VARCHAR) AS nation, CASE WHEN c_nationkey > 11 THEN 'high' ELSE 'low' END AS half FROM customer),
+l AS (SELECT id, 0 AS o, 'c_acctbal' AS f, c_acctbal AS v FROM c UNION ALL SELECT id, 1, 'twice', twice FROM c WHERE twice IS NOT NULL
+ UNION ALL SELECT id, 2, 'c_mktsegment_' || s, CAST(c_mktsegment = s AS DOUBLE) FROM c, (SELECT DISTINCT c_mktsegment AS s FROM c)
+ UNION ALL SELECT id, 3, 'nation_' || s, CAST(nation = s AS DOUBLE) FROM c, (SELECT DISTINCT nation AS s FROM c)
+ UNION ALL SELECT id, 4, 'half_' || s, CAST(half = s AS DOUBLE) FROM c, (SELECT DISTINCT half AS s FROM c))
+SELECT b.f AS drop_feature, a.f AS corr_feature, round(corr(a.v, b.v), 6) AS corr_value FROM l a JOIN l b ON a.id = b.id AND (a.o, a.f) < (b.o, b.f) GROUP BY 1, 2 HAVING abs(corr(a.v, b.v)) > 0.18
+"""
+
+
+@query("n03_collinear_one_hot", HOT_SQL)
+def collinear_one_hot(spark, d):
+    """Collinear pairs among numbers and the one-hot columns of categories, from counts of value pairs."""
+    from ..operators.profile import one_hot_correlated_pairs
+
+    half = F.when(F.col("c_nationkey") > 11, "high").otherwise("low").alias("half")
+    twice = F.when(F.col("c_custkey") % 3 > 0, F.col("c_acctbal") * 2 + F.col("c_nationkey") * 150).alias("twice")
+    rows = load(spark, d, "customer").select("c_acctbal", twice, "c_mktsegment", F.col("c_nationkey").cast("string").alias("nation"), half)
+    out = one_hot_correlated_pairs(rows, ["c_acctbal", "twice"], ["c_mktsegment", "nation", "half"], 0.18)
+    return out.withColumn("corr_value", r("corr_value"))
+
+
 @query("n03_selector_importance")
 def selector_importance(spark, d):
     df = doc_features(spark, d).drop("toxic").withColumn("flat", F.lit(1.0))
@@ -133,6 +156,7 @@ FITS = {
     "decision_tree": {"maxDepth": 4},
     "random_forest": {"numTrees": 10, "maxDepth": 4, "seed": 7},
     "boosted_trees": {"maxIter": 5, "seed": 7},
+    "adaboost": {"maxIter": 5},
     "factorization_machine": {"maxIter": 10, "factorSize": 2, "seed": 7},
 }
 

@@ -25,6 +25,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
 from .blend import oof_table, stack_features
+from .boosting import AdaBoost
 from .grams import centred, gram, solve_bayesian
 from .grouped_fits import CategoryModel, fit_by_category, linear_by_category, predict_linear_by_category  # noqa: F401
 from .select import assemble
@@ -70,10 +71,10 @@ CLASSIFIERS = {
     "decision_tree": DecisionTreeClassifier,
     "random_forest": RandomForestClassifier,
     "boosted_trees": GBTClassifier,
-    "adaboost": GBTClassifier,
+    "adaboost": AdaBoost,
     "factorization_machine": FMClassifier,
 }
-BINARY_ONLY = {"linear_svm", "sgd_hinge", "boosted_trees", "adaboost", "factorization_machine"}
+BINARY_ONLY = {"linear_svm", "sgd_hinge", "boosted_trees", "factorization_machine"}
 REGRESSORS = {
     "linear": (LinearRegression, {}),
     "ridge": (LinearRegression, {"regParam": 0.1, "elasticNetParam": 0.0}),

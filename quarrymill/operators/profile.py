@@ -248,6 +248,65 @@ def correlated_pairs(df: DataFrame, cols: Sequence[str], threshold: float, metho
     return pairs.select(F.col("b").alias("drop_feature"), F.col("a").alias("corr_feature"), F.col("corr").alias("corr_value"))
 
 
+def one_hot_correlated_pairs(df: DataFrame, numbers: Sequence[str], categories: Sequence[str], threshold: float) -> DataFrame:
+    """Pairs above the threshold (above 0) among number columns and the 0/1 columns ``<category>_<value>``, the later one to drop:
+    numbers first, then categories, their values in the order of their text. The table is never widened: two 0/1 columns
+    correlate by the counts of their values and of the pair, a number and a 0/1 column by the value's count and sum.
+
+    Values that never meet correlate at -sqrt(odds * odds), so one of them has odds above the threshold: at most
+    (1 + t) / t values of a category have, and only those are paired with all values. Rows without a category count as 0
+    everywhere; a number's missing rows are left out of its pairs; columns that do not vary have no pairs."""
+    numbers, categories = list(numbers), list(categories)
+    rows = materialise(df.select(*[_number(c).alias(f"x{i}") for i, c in enumerate(numbers)], *[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(categories)]))
+    xs, cs = range(len(numbers)), range(len(categories))
+    total = rows.count()
+    means = rows.agg(F.lit(0), *[F.avg(f"x{i}").alias(f"x{i}") for i in xs]).first()
+    centred = {i: F.col(f"x{i}") - F.lit(means[f"x{i}"]) for i in xs}
+    here = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"c{i}").alias("v")) for i in cs]) if categories else F.array()
+    long = rows.select(F.explode(here).alias("p"), *[f"x{i}" for i in xs]).select("p.c", "p.v", *[f"x{i}" for i in xs]).filter("v IS NOT NULL") if categories else None
+    found = None
+    add = lambda part: part if found is None else found.unionByName(part)
+    name = lambda c, v: F.concat(F.get(F.array(*[F.lit(x) for x in categories]), c), F.lit("_"), v)
+    if len(numbers) > 1:
+        found = add(corr_matrix(df, numbers).select(F.col("b").alias("drop_feature"), F.col("a").alias("corr_feature"), F.col("corr").alias("corr_value")))
+    if categories and numbers:
+        spread = rows.agg(*[F.count(f"x{i}").alias(f"n{i}") for i in xs], *[F.sum(centred[i] * centred[i]).alias(f"q{i}") for i in xs]).first()
+        sums = long.groupBy("c", "v").agg(*[F.count(f"x{i}").alias(f"n{i}") for i in xs], *[F.sum(centred[i]).alias(f"s{i}") for i in xs])
+        for i in xs:
+            n, q = spread[f"n{i}"], spread[f"q{i}"]
+            if not n or not q:
+                continue
+            varies = F.col(f"n{i}") - F.col(f"n{i}") * F.col(f"n{i}") / n
+            corr = F.when(varies > 0, F.col(f"s{i}") / F.sqrt(varies * q))
+            found = add(sums.select(name(F.col("c"), F.col("v")).alias("drop_feature"), F.lit(numbers[i]).alias("corr_feature"), corr.alias("corr_value")))
+    if categories:
+        counts = materialise(long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < total))
+        joint = [F.struct(F.lit(i).alias("c"), F.col(f"c{i}").alias("v"), F.lit(j).alias("d"), F.col(f"c{j}").alias("w")) for i in cs for j in cs if i < j]
+        empty = F.array().cast("array<struct<c:int,v:string,d:int,w:string>>")
+        met = rows.select(F.explode(F.array(*joint) if joint else empty).alias("p")).select("p.*").na.drop(subset=["v", "w"])
+        met = materialise(met.groupBy("c", "v", "d", "w").agg(F.count(F.lit(1)).alias("nn")))
+        # at most (1 + t) / t values of each category
+        odds = F.col("n") / (total - F.col("n"))
+        often = counts.filter(odds > threshold).collect()
+        strong = F.array(*[F.struct(F.lit(r["c"]).alias("c"), F.lit(r["v"]).alias("v"), F.lit(r["n"]).alias("m")) for r in often])
+        if often:
+            other = counts.select("c", "v", "n", F.explode(strong).alias("o")).filter((F.col("c") != F.col("o.c")) | (F.col("v") != F.col("o.v")))
+            first = F.least(F.struct("c", "v", "n"), F.struct(F.col("o.c").alias("c"), F.col("o.v").alias("v"), F.col("o.m").alias("n")))
+            last = F.greatest(F.struct("c", "v", "n"), F.struct(F.col("o.c").alias("c"), F.col("o.v").alias("v"), F.col("o.m").alias("n")))
+            apart = other.select(first.alias("a"), last.alias("b")).distinct()
+            apart = apart.select(F.col("a.c").alias("c"), F.col("a.v").alias("v"), F.col("a.n").alias("na"), F.col("b.c").alias("d"), F.col("b.v").alias("w"), F.col("b.n").alias("nb"))
+            apart = apart.join(met, ["c", "v", "d", "w"], "left_anti").withColumn("nn", F.lit(0).cast("long"))
+        ends = [counts.select("c", "v", F.col("n").alias("na")), counts.select(F.col("c").alias("d"), F.col("v").alias("w"), F.col("n").alias("nb"))]
+        pairs = lookup_join(lookup_join(met, ends[0], ["c", "v"], "inner", ["d", "w"]), ends[1], ["d", "w"], "inner", ["c", "v"])
+        pairs = pairs.unionByName(apart) if often else pairs
+        a, b = F.col("na"), F.col("nb")
+        corr = (F.col("nn") - a * b / total) / F.sqrt(a * (1 - a / total) * b * (1 - b / total))
+        found = add(pairs.select(name(F.col("d"), F.col("w")).alias("drop_feature"), name(F.col("c"), F.col("v")).alias("corr_feature"), corr.alias("corr_value")))
+    if found is None:
+        return df.sparkSession.createDataFrame([], "drop_feature string, corr_feature string, corr_value double")
+    return found.filter(F.abs("corr_value") > threshold)
+
+
 def correlated_families(df: DataFrame, cols: Sequence[str], threshold: float) -> DataFrame:
     """Number of correlated pairs per name prefix of the column to drop."""
     pairs = correlated_pairs(df, cols, threshold)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..plans.ordering import running_sums
 from .columns import distinct_counts, numeric_cols
 from .grams import centred, gram, lars_path
-from .profile import correlated_pairs, missing_report, unique_report
+from .profile import correlated_pairs, missing_report, one_hot_correlated_pairs, unique_report
 
 
 def assemble(df: DataFrame, cols: Sequence[str], name: str = "features") -> DataFrame:
@@ -88,10 +88,15 @@ class FeatureSelector:
         self.ops["single_unique"] = sorted(r["feature"] for r in rows)
         return self
 
-    def identify_collinear(self, threshold: float) -> "FeatureSelector":
+    def identify_collinear(self, threshold: float, one_hot: bool = False) -> "FeatureSelector":
+        """With ``one_hot`` the other columns take part by the 0/1 columns of their values, named ``<column>_<value>``; those are
+        reported, and ``remove`` drops the columns that the table has."""
         nums = [c for c in numeric_cols(self.df) if c in self.cols]
-        rows = correlated_pairs(self.df, nums, threshold).select("drop_feature").distinct().collect()
-        self.ops["collinear"] = sorted(r[0] for r in rows)
+        if one_hot:
+            pairs = one_hot_correlated_pairs(self.df, nums, [c for c in self.cols if c not in nums], threshold)
+        else:
+            pairs = correlated_pairs(self.df, nums, threshold)
+        self.ops["collinear"] = sorted(r[0] for r in pairs.select("drop_feature").distinct().collect())
         return self
 
     def identify_zero_importance(self, task: str = "classification", iterations: int = 2, trees: int = 10) -> "FeatureSelector":
