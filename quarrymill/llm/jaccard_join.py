@@ -287,7 +287,6 @@ def _meet(rows):
         pair_a.append(fn[:-step][hit])
         pair_b.append(fn[step:][hit])
     group, member = [np.zeros(0, "i8")], [np.zeros(0, "i8")]
-    seen = set()
     # the star's centre: of near copies of one text, that text shares most signatures with the others
     popular, place = np.unique(node[many], return_inverse=True)
     rank = np.zeros(len(node), "i8")
@@ -298,13 +297,11 @@ def _meet(rows):
         rest = np.delete(list_, centre)
         pair_a.append(np.minimum(rest, list_[centre]))
         pair_b.append(np.maximum(rest, list_[centre]))
-        name = int(mix(np.array([mix(list_.view("u8")).sum()], "u8"))[0] >> np.uint64(1))
-        if name not in seen:
-            seen.add(name)
-            group.append(np.full(n, name, "i8"))
-            member.append(list_)
+        # groups are named by their smallest node: those of one cluster share it mostly, and are one group then
+        group.append(np.full(n, list_[0], "i8"))
+        member.append(list_)
     a, b = _unique_pairs(np.concatenate(pair_a), np.concatenate(pair_b))
-    g, m = np.concatenate(group), np.concatenate(member)
+    g, m = _unique_pairs(np.concatenate(group), np.concatenate(member))
     return pd.DataFrame({
         "kind": np.r_[np.zeros(len(a), "i4"), np.ones(len(g), "i4")], "a": np.r_[a, g], "b": np.r_[b, m],
     })
