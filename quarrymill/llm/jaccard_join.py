@@ -188,12 +188,11 @@ def _keys(s, row, sizes, common, percent):
     return np.concatenate(out_keys), np.concatenate(out_rows)
 
 
-def _signatures(docs: DataFrame, common: np.ndarray, buckets: int, size: int, percent: int) -> DataFrame:
-    """Packed signatures: (bucket, keys as 4-byte numbers, 2-byte places in fps, fps). Within a bucket of bounded size the
+def _signatures(docs: DataFrame, shared, buckets: int, size: int, percent: int) -> DataFrame:
+    """Packed signatures, without the shingles of the broadcast ``shared``: (bucket, keys as 4-byte numbers, 2-byte places in fps, fps). Within a bucket of bounded size the
     short keys coincide by chance for a few pairs only, which the screen takes out."""
     import pyarrow as pa
 
-    shared = docs.sparkSession.sparkContext.broadcast(common)
     flush_at = 1_000_000
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -469,11 +468,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     nodes = materialise(one.dropDuplicates(["fp"]))
     total = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if total:
-        common = _common(described, int(total))
+        every = texts.agg(F.sum("n")).first()[0]  # copies are counted, so the bound on common shingles counts them too
+        common = docs.sparkSession.sparkContext.broadcast(_common(described, int(every)))
         shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         buckets = max(shuffles, int(total * 0.7 // SIGNATURES_A_BUCKET) + 1)
         packed = _signatures(docs.filter("doc_id IS NOT NULL"), common, buckets, size, percent)
         met = materialise(packed.groupBy("bucket").applyInPandas(_meet, "kind int, a long, b long"))
+        common.destroy()
         pairs = met.filter("kind = 0").select("a", "b").distinct()
         links = materialise(_verify(_screen(pairs, nodes, percent), nodes, docs, size, percent))
         members = met.filter("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("fp")).distinct()
