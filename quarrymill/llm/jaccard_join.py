@@ -33,7 +33,8 @@ from .components import components
 from .exprs import only_ids
 from .wordhash import buffers, mix, shingle_sets, slices
 
-SMALL_GROUP = 16
+#: Nodes of a signature that are paired at once; larger groups meet by stars and blocks, whose rows grow with their size.
+SMALL_GROUP = 4
 BLOCK = 1024
 SIGNATURES_A_BUCKET = 1_500_000
 SHINGLES_A_PACK = 400_000
@@ -189,8 +190,8 @@ def _keys(s, row, sizes, common, percent):
 
 
 def _signatures(docs: DataFrame, shared, buckets: int, size: int, percent: int) -> DataFrame:
-    """Packed signatures, without the shingles of the broadcast ``shared``: (bucket, keys as 4-byte numbers, 2-byte places in fps, fps). Within a bucket of bounded size the
-    short keys coincide by chance for a few pairs only, which the screen takes out."""
+    """Packed signatures, without the shingles of the broadcast ``shared``: (bucket, keys as 4-byte numbers, 2-byte places in
+    fps, fps). Within a bucket of bounded size the short keys coincide by chance for a few pairs only, which the screen takes out."""
     import pyarrow as pa
 
     flush_at = 1_000_000
