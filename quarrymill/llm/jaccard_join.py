@@ -13,8 +13,9 @@ sets cancel, so two sketches differ in at most as many places as the symmetric d
    third of all texts hold do not gather those texts. The signatures travel as packed arrays, one bucket of hashes per task.
 3. Candidate pairs are screened by set sizes and by the Hamming distance of the bit sketches (folded to equal length), then
    verified on the shingles of the texts.
-4. A signature shared by many nodes first gives a star around the one that shares most. After the stars' links are joined
-   into components, each node of such a group is compared with its nearest by sketch in another component, until no more
+4. Signatures shared by many nodes make groups, named by their smallest node. A group first gives a star around the member
+   that stands in most such signatures of all buckets, so the groups of one cluster have one centre (``_stars``). After the
+   stars' links are joined into components, each node of such a group is compared with its nearest by sketch in another component, until no more
    links are found this way; then all pairs of the group that still lie in different components are screened (in blocks of
    bounded size) and verified. So large groups of near copies cost comparisons in proportion to their size.
 
@@ -28,7 +29,8 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from ..plans.session import materialise
+from ..plans.session import materialise, settle
+from ..plans.skew import lookup_join, salted_join
 from .components import components
 from .exprs import only_ids
 from .wordhash import buffers, mix, shingle_sets, slices
@@ -258,7 +260,8 @@ def _unique_pairs(a, b):
 
 
 def _meet(rows):
-    """Of one bucket: kind 0, a pair of nodes; kind 1, (group, node) of a signature that more than a few nodes share."""
+    """Of one bucket: kind 0, a pair of nodes; kind 1, (group, node) of signatures that more than a few nodes share, and how
+    many of them."""
     import pandas as pd
 
     keys, nodes = [], []
@@ -285,33 +288,40 @@ def _meet(rows):
             break
         pair_a.append(fn[:-step][hit])
         pair_b.append(fn[step:][hit])
-    group, member = [np.zeros(0, "i8")], [np.zeros(0, "i8")]
-    # the star's centre: of near copies of one text, that text shares most signatures with the others
-    popular, place = np.unique(node[many], return_inverse=True)
-    rank = np.zeros(len(node), "i8")
-    rank[many] = np.bincount(place)[place] if len(place) else 0
-    for at, n in zip(first[counts > SMALL_GROUP].tolist(), counts[counts > SMALL_GROUP].tolist()):
-        list_ = node[at : at + n]
-        centre = int(np.argmax(rank[at : at + n]))
-        rest = np.delete(list_, centre)
-        pair_a.append(np.minimum(rest, list_[centre]))
-        pair_b.append(np.maximum(rest, list_[centre]))
-        # groups are named by their smallest node: those of one cluster share it mostly, and are one group then
-        group.append(np.full(n, list_[0], "i8"))
-        member.append(list_)
     a, b = _unique_pairs(np.concatenate(pair_a), np.concatenate(pair_b))
-    g, m = _unique_pairs(np.concatenate(group), np.concatenate(member))
+    # groups are named by their smallest node: those of one cluster share it mostly, and are one group then
+    group, member = np.repeat(node[first], counts)[many], node[many]
+    order = np.lexsort((member, group))
+    group, member = group[order], member[order]
+    at = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (member[1:] != member[:-1])]) if len(group) else np.zeros(0, "i8")
+    times = np.diff(np.r_[at, len(group)])
     return pd.DataFrame({
-        "kind": np.r_[np.zeros(len(a), "i4"), np.ones(len(g), "i4")], "a": np.r_[a, g], "b": np.r_[b, m],
+        "kind": np.r_[np.zeros(len(a), "i4"), np.ones(len(at), "i4")],
+        "a": np.r_[a, group[at]],
+        "b": np.r_[b, member[at]],
+        "times": np.r_[np.zeros(len(a), "i8"), times],
     })
 
 
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of every member (g, fp, times) of a group with the group's centre: the member that stands in most
+    signatures over all groups. Of near copies of one text, that text shares most signatures with the others."""
+    popular = members.groupBy("fp").agg(F.sum("times").alias("popular"))
+    centres = members.join(popular, "fp").groupBy("g").agg(F.max_by("fp", F.struct("popular", "fp")).alias("centre"))
+    pairs = lookup_join(members.select("g", "fp"), centres, ["g"], "inner", salt_on=["fp"]).filter("centre <> fp")
+    return pairs.select(F.least("centre", "fp").alias("a"), F.greatest("centre", "fp").alias("b"))
+
+
 def _screen(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose set sizes and sketches allow a link, with their sizes."""
     import pyarrow as pa
 
     ends = lambda x: nodes.select(F.col("fp").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-    both = pairs.join(ends("a"), "a").filter("na > 0").join(ends("b"), "b")
+    # the centre of a star has as many pairs as its group has members: such keys are salted
+    pairs = settle(pairs)
+    both = salted_join(pairs, ends("a"), ["a"], "inner", salt_on=["b"]).filter("na > 0")
+    counts = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    both = salted_join(both, ends("b"), ["b"], "inner", salt_on=["a"], counts=counts)
     both = both.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b", "na", "nb", "sa", "sb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,7 +346,7 @@ def _verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, perc
     packs = max(shuffles, int(volume // SHINGLES_A_PACK) + 1)
     degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
     # partners of one node in runs of about 64
-    spread = pairs.join(degree, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.ceil(F.col("deg") / 64)))
+    spread = lookup_join(pairs, degree, ["a"], "inner", salt_on=["b"]).withColumn("part", F.pmod(F.xxhash64("b"), F.ceil(F.col("deg") / 64)))
     spread = materialise(spread.withColumn("pack", F.pmod(F.xxhash64("a", "part"), F.lit(packs))).select("pack", "a", "b"))
     ends = spread.select("pack", F.col("a").alias("fp")).unionByName(spread.select("pack", F.col("b").alias("fp"))).distinct()
     wanted = materialise(ends.join(nodes.select("fp", "doc_id"), "fp").select("pack", "fp", "doc_id"))
@@ -473,12 +483,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         buckets = max(shuffles, int(total * 0.7 // SIGNATURES_A_BUCKET) + 1)
         packed = _signatures(docs.filter("doc_id IS NOT NULL"), common, buckets, size, percent)
-        met = materialise(packed.groupBy("bucket").applyInPandas(_meet, "kind int, a long, b long"))
+        met = materialise(packed.groupBy("bucket").applyInPandas(_meet, "kind int, a long, b long, times long"))
         common.destroy()
-        pairs = met.filter("kind = 0").select("a", "b").distinct()
-        links = materialise(_verify(_screen(pairs, nodes, percent), nodes, docs, size, percent))
-        members = met.filter("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("fp")).distinct()
+        members = met.filter("kind = 1").groupBy(F.col("a").alias("g"), F.col("b").alias("fp")).agg(F.sum("times").alias("times"))
         members = materialise(members)
+        pairs = met.filter("kind = 0").select("a", "b").unionByName(_stars(members)).distinct()
+        links = materialise(_verify(_screen(pairs, nodes, percent), nodes, docs, size, percent))
+        members = members.select("g", "fp")
         for nearest in (True, False):
             open_ = _open_pairs(members, links, nodes, percent, nearest)
             if open_ is None:
