@@ -1,13 +1,17 @@
 """Best-fit packing of texts into sequences of several permitted lengths.
 
 Texts are dealt over shards of bounded size by hash; a shard packs its pieces in one task, longest first. A piece goes to
-the open bin that it fills best. If it fits in none, a bin is opened in the capacity of least cost for each token it can
-hold, counting what is still to be placed; at the end every bin shrinks to the smallest capacity that holds its contents.
-Only the last bins of a shard can be badly filled, so sharding costs about one bin in some thousands.
+the open bin that it fills best. If it fits in none, a bin of the capacity of least cost for each token is opened: a
+sequence of c tokens costs c, a fixed overhead, and c * c / ATTENTION for attention. The tokens it will hold are foreseen
+from the lengths still to be placed and not yet foreseen in an open bin: the largest that fits, again and again. So short
+sequences are opened for short texts, and long ones where a text needs the length or short ones would stay badly filled.
+At the end every bin shrinks to the smallest capacity that holds its contents. Only the last bins of a shard can be badly
+filled, so sharding costs about one bin in some thousands.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -18,28 +22,64 @@ from .wordhash import IS_SPACE, buffers, slices
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 #: Cost of a sequence besides its tokens, in tokens.
-OVERHEAD = 16
+OVERHEAD = 128
+#: Length at which the attention of a sequence costs as much as the rest: six times the width of a model of 4,096.
+ATTENTION = 24_576
 SHARD_PIECES = 50_000
 
 
-def pack(lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES, overhead: int = OVERHEAD):
+def price(capacity: int, overhead: int = OVERHEAD, attention: int = ATTENTION) -> float:
+    """Cost of one sequence of this length."""
+    return capacity + overhead + capacity * capacity / attention
+
+
+def pack(
+    lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES, overhead: int = OVERHEAD, attention: int = ATTENTION
+):
     """(bin, start) of every length, taken in the order given, and (used, capacity) of every bin."""
     capacities = sorted(capacities)
-    left = int(sum(lengths))
+    costs = {c: price(c, overhead, attention) for c in capacities}
+    waiting, promised = Counter(lengths), Counter()  # pieces still to be placed: free ones, and those foreseen in open bins
+    lengths_mask = sum(1 << n for n in waiting)  # bit n: a free piece of n tokens
     free: dict[int, list[int]] = {}
     mask = 0  # bit r: a bin with r places left
     used: list[int] = []
     room: list[int] = []
     placed = []
+
+    def take(n: int, k: int) -> None:
+        nonlocal lengths_mask
+        waiting[n] -= k
+        if not waiting[n]:
+            lengths_mask &= ~(1 << n)
+
+    def foreseen(space: int) -> list[tuple[int, int]]:
+        """(length, pieces) of the free pieces put into this space, the largest that fits first."""
+        plan, largest = [], space
+        while fits := lengths_mask & ((2 << largest) - 1):
+            n = fits.bit_length() - 1
+            plan.append((n, min(waiting[n], space // n)))
+            space -= n * plan[-1][1]
+            largest = min(space, n - 1)
+        return plan
+
     for n in lengths:
         fitting = mask >> n
+        if promised[n] and (fitting or not waiting[n]):
+            promised[n] -= 1
+        else:
+            take(n, 1)
         if fitting:
             r = n + (fitting & -fitting).bit_length() - 1
             b = free[r].pop()
             if not free[r]:
                 mask &= ~(1 << r)
         else:
-            size = min((c for c in capacities if c >= n), key=lambda c: ((c + overhead) / min(c, max(left, n)), c))
+            plans = {c: foreseen(c - n) for c in capacities if c >= n}
+            size = min(plans, key=lambda c: (costs[c] / (n + sum(m * k for m, k in plans[c])), c))
+            for m, k in plans[size]:
+                take(m, k)
+                promised[m] += k
             b = len(used)
             used.append(0)
             room.append(size)
@@ -49,7 +89,6 @@ def pack(lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES, overhea
         if r:
             free.setdefault(r, []).append(b)
             mask |= 1 << r
-        left -= n
     return placed, [(u, next(c for c in capacities if c >= u)) for u in used]
 
 
@@ -81,7 +120,12 @@ def count_tokens(docs: DataFrame, text: str = "text", out: str = "n_tokens") ->
 
 
 def pack_lengths(
-    rows: DataFrame, key: str, length: str | Column, capacities: Sequence[int] = CAPACITIES, overhead: int = OVERHEAD
+    rows: DataFrame,
+    key: str,
+    length: str | Column,
+    capacities: Sequence[int] = CAPACITIES,
+    overhead: int = OVERHEAD,
+    attention: int = ATTENTION,
 ) -> DataFrame:
     """(key, piece, n_tokens, bin_id, start, capacity, bin_used): where each row goes.
 
@@ -107,7 +151,7 @@ def pack_lengths(
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["n_tokens", "key", "piece"], ascending=[False, True, True], kind="stable")
         real = part["n_tokens"].to_numpy() > 0
-        placed, bins = pack(part["n_tokens"].to_numpy()[real].tolist(), capacities, overhead)
+        placed, bins = pack(part["n_tokens"].to_numpy()[real].tolist(), capacities, overhead, attention)
         out = part[["key", "piece", "n_tokens"]].copy()
         shard = int(part["shard"].iloc[0])
         for name in ("bin_id", "start", "capacity", "bin_used"):

@@ -51,6 +51,14 @@ def test_near_duplicates_edges(spark):
     assert got == sorted(map(str, [(7, 2, 7), (7, 2, 7), (None, 2, 7), (9, 0, 9), (9, 0, 9)]))
 
 
+def test_star_centres_agree_between_groups(spark):
+    """Groups of one cluster, each with other members and another name, have the commonest member as their centre."""
+    rng = random.Random(1)
+    rows = [(g, n, 9 if n == 40 else rng.randint(1, 3)) for g in range(8) for n in {*rng.sample(range(8, 90), 30), g, 40}]
+    pairs = jaccard_join._stars(spark.createDataFrame(rows, "g long, fp long, times long")).distinct().collect()
+    assert {(r.a, r.b) for r in pairs} == {(min(n, 40), max(n, 40)) for _, n, _ in rows if n != 40}
+
+
 def test_sketches_bound_the_difference():
     import numpy as np
 
@@ -209,6 +217,60 @@ def test_best_fit_choice():
     assert packing.pack([3], [4, 8], overhead=1)[1] == [(3, 4)]  # the small bin costs less for what is left
 
 
+def plain_best_fit(lengths, capacities, overhead, attention):
+    """The rule of ``pack`` over plain lists."""
+    bins, placed = [], []  # a bin: used, room, when it was last filled
+    waiting, promised = list(lengths), []
+    for i, n in enumerate(lengths):
+        fitting = [b for b in range(len(bins)) if bins[b][1] - bins[b][0] >= n]
+        from_promised = n in promised and (fitting or n not in waiting)
+        (promised if from_promised else waiting).remove(n)
+        if not fitting:
+            offers = []
+            for c in sorted(capacities):
+                if c >= n:
+                    plan = []
+                    for later in sorted(waiting, reverse=True):
+                        if n + sum(plan) + later <= c:
+                            plan.append(later)
+                    offers.append((packing.price(c, overhead, attention) / (n + sum(plan)), c, plan))
+            _, c, plan = min(offers)
+            for x in plan:
+                waiting.remove(x)
+            promised += plan
+            bins.append([0, c, -1])
+            fitting = [len(bins) - 1]
+        b = min(fitting, key=lambda b: (bins[b][1] - bins[b][0], -bins[b][2]))
+        placed.append((b, bins[b][0]))
+        bins[b][0] += n
+        bins[b][2] = i
+    return placed, [(u, min(c for c in capacities if c >= u)) for u, _, _ in bins]
+
+
+def test_best_fit_against_plain_lists():
+    rng = random.Random(3)
+    for _ in range(60):
+        capacities = sorted(rng.sample([8, 12, 16, 32, 64, 100], 3))
+        lengths = sorted((rng.randint(1, capacities[-1]) for _ in range(rng.randint(0, 80))), reverse=True)
+        overhead, attention = rng.choice([0, 2, 9]), rng.choice([20, 100, 1000])
+        assert packing.pack(lengths, capacities, overhead, attention) == plain_best_fit(lengths, capacities, overhead, attention)
+
+
+def test_lengths_are_chosen_jointly():
+    rng = random.Random(4)
+    lengths = sorted((int(min(8192, rng.lognormvariate(5.5, 1.3)) + 1) for _ in range(20_000)), reverse=True)
+    lengths = [min(n, 8192) for n in lengths]
+    cost = lambda bins: sum(packing.price(min(c for c in packing.CAPACITIES if c >= u)) for u, _ in bins)
+    placed, bins = packing.pack(lengths)
+    early = [c for _, c in bins[: len(bins) // 2]]
+    assert len({c for c in early}) > 1  # several sizes are opened long before the end
+    tokens, capacity = sum(lengths), sum(c for _, c in bins)
+    assert capacity <= 1.01 * tokens
+    for one in packing.CAPACITIES:
+        if one >= lengths[0]:
+            assert cost(bins) < 0.95 * cost(packing.pack(lengths, [one])[1])
+
+
 def test_count_tokens(spark):
     rows = [(1, None), (2, ""), (3, " a  b\tc\n"), (4, "é"), (5, "x" * 100_000)]
     out = packing.count_tokens(spark.createDataFrame(rows, SCHEMA).withColumn("n_tokens", F.lit("x")))
