@@ -118,7 +118,7 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str]
 
     def scan(ws):
         marked = F.transform(ws, lambda w, i: F.when(w.isin(wanted), F.struct(w.alias("w"), i.alias("i"))))
-        return F.struct(F.size(ws).alias("n"), F.array_compact(marked).alias("hits"))
+        return F.struct(F.size(ws).alias("n"), F.array_compact(marked).alias("hits"), ws.alias("words"))
 
     out = docs.drop("n_words", "starts", "base_labels", "matches", "labels")
     out = out.withColumn("__scan", let(words, scan))
@@ -129,12 +129,19 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str]
     )
     rare = F.filter(hits, lambda h: h["w"].isin(sorted(postings)))
 
+    single_words = [t for t, one in enumerate(single) if one]
+
     def agreeing(votes):
-        """Offsets with enough votes: sorted, a run is long enough where the entry some places on is the same."""
+        """(vote, times) of the offsets with enough votes: sorted, equal votes are a run."""
         at = F.sequence(F.lit(0), F.size(votes) - 1)
-        enough = lambda j: F.coalesce(F.get(votes, j + (MIN_AGREEING - 1)) == votes[j], F.lit(False))
-        good = F.filter(at, lambda j: enough(j) | votes[j]["t"].isin([t for t, one in enumerate(single) if one]))
-        return F.when(F.size(votes) > 0, F.array_distinct(F.transform(good, lambda j: votes[j])))
+        starts = F.filter(at, lambda j: (j == 0) | F.coalesce(F.get(votes, j - 1) != votes[j], F.lit(True)))
+
+        def runs(first):
+            end = lambda k: F.coalesce(F.get(first, k + 1), F.size(votes))
+            return F.transform(first, lambda j, k: F.struct(votes[j].alias("v"), (end(k) - j).alias("n")))
+
+        good = F.filter(let(starts, runs), lambda r: (r["n"] >= MIN_AGREEING) | r["v"]["t"].isin(single_words))
+        return F.when(F.size(votes) > 0, good)
 
     labels = F.array(*[F.lit(label) for label, _, _ in templates])
     must = F.array(*[
@@ -144,16 +151,15 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str]
     total = F.array(*[F.lit(float(max(1, n))) for n in sizes])
 
     def matched(votes):
-        holds = lambda v: F.forall(
-            must[v["t"]],
-            lambda m: F.exists(hits, lambda h: (h["i"] == v["off"] + m["i"]) & (h["w"] == m["w"])),
-        )
-        score = lambda v: F.least(
-            F.lit(1.0), F.size(F.filter(votes, lambda x: x == v)) / F.element_at(total, v["t"] + 1)
+        # a phrase is verified at its places in the words, so the work grows with the votes, not with their square
+        holds = lambda r: F.forall(
+            must[r["v"]["t"]],
+            lambda m: F.coalesce(F.get(F.col("__scan.words"), r["v"]["off"] + m["i"]) == m["w"], F.lit(False)),
         )
+        score = lambda r: F.least(F.lit(1.0), r["n"] / F.element_at(total, r["v"]["t"] + 1))
         return F.transform(
             F.filter(agreeing(votes), holds),
-            lambda v: F.struct(labels[v["t"]].alias("label"), v["off"].alias("off"), score(v).alias("coverage")),
+            lambda r: F.struct(labels[r["v"]["t"]].alias("label"), r["v"]["off"].alias("off"), score(r).alias("coverage")),
         )
 
     none = F.array().cast("array<struct<label:string,off:int,coverage:double>>")

@@ -138,6 +138,13 @@ def test_license_notices_in_other_words(spark):
     assert got == {1: ["mit"], 2: ["mit"], 3: [], 4: ["mit"], 5: ["apache"], 6: [], 7: []}
 
 
+def test_license_many_notices(spark):
+    """A megabyte of notices: one match per notice; words are looked at by place, so the time does not grow with the square."""
+    rows = [(1, "Licensed under the MIT License. " * 32_000), (2, "mit license"), (3, "under the license")]
+    out = scan_licenses(spark.createDataFrame(rows, SCHEMA)).selectExpr("doc_id", "size(matches) AS n", "labels").collect()
+    assert {r.doc_id: (r.n, r.labels) for r in out} == {1: (32_000, ["mit"]), 2: (1, ["mit"]), 3: (0, [])}
+
+
 def test_lm_scores(spark):
     rng = random.Random(4)
     pairs = {f"a{i}": f"b{i}" for i in range(30)}
