@@ -177,6 +177,28 @@ def test_lm_edges(spark):
     assert all(math.isfinite(r.score) for r in got)
 
 
+def test_lm_learns_alike_from_any_files(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(lm_score, "LEAST_TEXT", 20_000)
+    monkeypatch.setattr(lm_score, "TEXT_A_WORD", 0)
+    rng = random.Random(8)
+    rows = [(0, None), (1, ""), (2, "x " * 9_000)]
+    for i in range(3, 400):
+        firsts = [rng.randrange(60) for _ in range(30)]
+        rows.append((i, "the same text for a third of all rows" if i % 3 == 0 else " ".join(f"a{k} b{k}" for k in firsts)))
+    found = []
+    for files in (1, 7):
+        spark.createDataFrame(rows, SCHEMA).repartition(files).write.parquet(f"{tmp_path}/{files}")
+        docs = spark.read.parquet(f"{tmp_path}/{files}")
+        found.append({r.doc_id: r for r in lm_score.score_texts(docs, F.col("doc_id") % 5 != 2).collect()})
+    one, many = found
+    assert one.keys() == many.keys() == {i for i, _ in rows}
+    for i, r in one.items():
+        assert many[i].score == pytest.approx(r.score, rel=1e-4)
+        assert many[i].base_score == pytest.approx(r.base_score, rel=1e-9)
+    held = [i for i in one if i % 5 == 2]
+    assert sum(one[i].score for i in held) > sum(one[i].base_score for i in held)
+
+
 def test_lm_tells_rare_words_apart(spark):
     rng = random.Random(6)
     rows = []
