@@ -13,13 +13,6 @@ from ..plans.scalars import Scalars
 from ..plans.session import materialise
 
 
-def kolmogorov_tail(x: float) -> float:
-    """Tail of the limiting distribution of the two-sample statistic."""
-    if x < 1e-3:
-        return 1.0
-    return min(1.0, max(0.0, 2 * sum((-1) ** (j - 1) * math.exp(-2 * j * j * x * x) for j in range(1, 101))))
-
-
 def ks_2samp(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Largest distance of the two distribution functions per column, with the asymptotic p-value. All columns share one
     pass over distinct values."""

@@ -222,6 +222,16 @@ def test_stepwise_and_pvalues(spark):
     assert select._t_tail(0.5, 3) == pytest.approx(0.6514480, abs=1e-6)
 
 
+def test_ks_pvalues(spark):
+    # fixed values: 1 minus the published table of the limiting distribution
+    for shift, statistic, tail in ((20, 0.1, 0.270000), (24, 0.12, 0.112250), (32, 0.16, 0.011952)):
+        a = spark.range(200).select(F.col("id").cast("double").alias("x"))
+        b = spark.range(200).select((F.col("id") + shift).cast("double").alias("x"))
+        row = stats.ks_2samp(a, b, ["x"]).first()
+        assert row["statistic"] == pytest.approx(statistic)
+        assert row["pvalue"] == pytest.approx(tail, abs=1e-6)
+
+
 def test_ks_pvalue_shape(spark):
     a = spark.range(0, 400).select(F.col("id").cast("double").alias("x"))
     b = spark.range(0, 400).select((F.col("id") + 200).cast("double").alias("x"))
