@@ -49,6 +49,23 @@ def ngrams(words: Column, n: int, joiner: str = " ") -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), joiner))
 
 
+def counted(items: Column) -> Column:
+    """(item, c) of the distinct items of an array, by a sort inside the row. Arrays of one entry hold what is read more than
+    once, so that it is worked out once."""
+
+    def runs(s: Column) -> Column:
+        places = F.when(F.size(s) > 0, F.sequence(F.lit(1), F.size(s))).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(places, lambda p: (p == 1) | (F.get(s, p - 1) != F.get(s, p - 2)))
+
+        def lengths(b: Column) -> Column:
+            end = lambda j: F.coalesce(F.get(b, j + 1), F.size(s) + 1)
+            return F.transform(b, lambda p, j: F.struct(F.get(s, p - 1).alias("item"), (end(j) - p).cast("long").alias("c")))
+
+        return F.get(F.transform(F.array(starts), lengths), F.lit(0))
+
+    return F.get(F.transform(F.array(F.sort_array(items)), runs), F.lit(0))
+
+
 def normalize_basic(c) -> Column:
     """Lower case, a set of punctuation and all digits removed, a space before ``?``, ``!`` and ``.``."""
     dropped = F.regexp_replace(F.lower(as_col(c)), "[" + re.escape(DROPPED_PUNCTUATION) + "]", "")

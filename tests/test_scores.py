@@ -124,3 +124,34 @@ def test_scored_files(spark, tmp_path):
     df = X.read_scored_files(spark, str(tmp_path / "hyp"), [str(tmp_path / "r1"), str(tmp_path / "r2")])
     assert sorted(map(tuple, df.collect())) == [(1, "a b", ["a", "b"]), (2, "c", ["c d", "x"])]
     assert math.isclose(X.bleu_corpus(df, 1).first()[0], 1.0, rel_tol=1e-6)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ngrams_of_a_row_are_counted_inside_it(spark):
+    rows = [(1, "a b a b"), (2, ""), (3, None), (4, "a"), (None, "x y"), (7, "k l"), (None, "x z"), (7, "k l m")]
+    made = lambda part: X.gram_counts(spark.createDataFrame(part, "id long, t string"), ["id"], F.split("t", " "), 2)
+    assert "Exchange" not in _plan(made(rows[:5]))
+    want = {}
+    for key, text in rows:
+        words = [] if text is None else text.split(" ")
+        for k in (1, 2):
+            for i in range(len(words) - k + 1):
+                at = (key, k, " ".join(words[i : i + k]))
+                want[at] = want.get(at, 0) + 1
+    got = [tuple(x) for x in made(rows).collect()]
+    assert len(got) == len(want) and {x[:3]: x[3] for x in got} == want
+
+
+def test_matches_need_no_shuffle_of_ngrams_and_repeated_ids_add_up(spark):
+    rows = [(1, "a b a", ["a a c", "b"]), (2, None, ["x"]), (3, "x", [None]), (4, "", [""]), (5, "p q", []), (None, "n", ["n"])]
+    got = X.clipped_matches(frame(spark, rows), 2)
+    assert "Exchange" not in _plan(got)
+    want = {(1, 1): 3, (1, 2): 0, (2, 1): 0, (3, 1): 0, (5, 1): 0, (5, 2): 0, (None, 1): 1}
+    assert {(x.id, x.n): x.correct for x in got.collect()} == want
+    twice = rows + [(1, "a", ["a"]), (None, "n m", ["n m", "o"])]
+    got = {(x.id, x.n): x.correct for x in X.clipped_matches(frame(spark, twice), 2).collect()}
+    # id 1: a three times against at most three in the first reference, b once; null: n twice, m and "n m" once
+    assert got == {**want, (1, 1): 4, (None, 1): 3, (None, 2): 1}
