@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import cache
 import re
+import sys
+import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -86,11 +89,46 @@ def normalize_ascii(c) -> Column:
     return _letters_only(strip_accents(F.lower(strip(c))))
 
 
+MARKS = "[̀-ͯ҃-֑҇-ֽً-ٟ᪰-᫿᷀-᷿⃐-⃰︠-︯]"
+
+
+@cache
+def _bare_letters() -> tuple[str, str, str]:
+    """Characters that decompose into one character and dropped marks, what is left of them, and a pattern of those of which two or
+    more are left. Dropped marks stand at the end of the first, without a counterpart."""
+    one, left, more, gone = [], [], [], []
+    for code in (c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000):
+        letter = chr(code)
+        parts = unicodedata.normalize("NFD", letter)
+        rest = re.sub(MARKS, "", parts)
+        if not rest:
+            gone.append(letter)
+        elif len(rest) > 1 or unicodedata.combining(rest):
+            more.append(code)
+        elif rest != letter:
+            one.append(letter)
+            left.append(rest)
+    ranges = []
+    for code in more:
+        if ranges and ranges[-1][1] == code - 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "".join(one + gone), "".join(left), "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
+def strip_marks(c) -> Column:
+    """Canonical decomposition with all combining marks dropped, for letters outside the fixed table. Texts with characters of
+    which more than one is left, or with marks that stay and may change places, are decomposed whole; all others stay in the JVM."""
+    one, left, more = _bare_letters()
+    text = as_col(c)
+    hard = text.rlike(more)
+    return F.when(hard, _decomposed(F.when(hard, text))).otherwise(F.translate(text, one, left))
+
+
 @F.pandas_udf(T.StringType())
-def strip_marks(texts: pd.Series) -> pd.Series:
-    """Canonical decomposition with all combining marks dropped, for letters outside the fixed table."""
-    parts = texts.str.normalize("NFD")
-    return parts.str.replace("[̀-ͯ҃-֑҇-ֽً-ٟ᪰-᫿᷀-᷿⃐-⃰︠-︯]", "", regex=True)
+def _decomposed(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else re.sub(MARKS, "", unicodedata.normalize("NFD", t)))
 
 
 def normalize_ascii_full(c) -> Column:
@@ -103,15 +141,14 @@ def half_to_full(c) -> Column:
 
 
 def to_text(c) -> Column:
-    """UTF-8 bytes to text; bytes that are not valid are dropped, valid input stays in the JVM."""
-    raw = as_col(c)
-    valid = F.try_validate_utf8(raw.cast("string"))
-    return F.coalesce(valid, _decode_ignore(F.when(valid.isNull(), raw.cast("binary"))))
-
-
-@F.pandas_udf(T.StringType())
-def _decode_ignore(raw: pd.Series) -> pd.Series:
-    return raw.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+    """UTF-8 bytes to text; bytes that are not valid are dropped, all in the JVM. Replacement characters that belong to the text
+    are written in another way while those of the invalid bytes are dropped."""
+    raw = as_col(c).cast("string")
+    mark = "\ufffd"
+    safe = F.replace(F.replace(raw, F.lit("\x01"), F.lit("\x01a")), F.lit(mark), F.lit("\x01b"))
+    kept = F.replace(F.make_valid_utf8(safe), F.lit(mark), F.lit(""))
+    whole = F.replace(F.replace(kept, F.lit("\x01b"), F.lit(mark)), F.lit("\x01a"), F.lit("\x01"))
+    return F.coalesce(F.try_validate_utf8(raw), whole)
 
 
 def substitute(c, mapping: Mapping[str, str]) -> Column:
