@@ -14,6 +14,7 @@ from ..functions.text import counted, ngrams, strip, tokens
 from ..plans.scalars import Scalars
 from ..plans.session import materialise, measure, settle
 from ..plans.skew import lookup_join
+from .lookups import look_up
 
 # Fixed values
 TINY, SMALL = 1e-15, 1e-9
@@ -206,23 +207,98 @@ def rouge_l(df: DataFrame) -> DataFrame:
     return cut.select("id", score.alias("rouge_l"))
 
 
+def _packed_grams(df: DataFrame, n: int) -> DataFrame:
+    """(id, __side, __order, __terms, __count): the distinct n-grams of a row's hypothesis (side 0) and references (1, 2, ...) by
+    their 64-bit hashes, as arrays of equal length."""
+    words = F.transform(F.concat(F.array("hyp"), F.coalesce("refs", F.array().cast("array<string>"))), lambda t: tokens(t))
+
+    def of_order(w: Column, k: int) -> Column:
+        return F.transform(counted(F.transform(ngrams(w, k), lambda g: F.xxhash64(g))), lambda x: F.struct(F.lit(k).cast("byte").alias("k"), x["item"].alias("g"), x["c"].cast("int").alias("c")))
+
+    rows = df.select("id", words.alias("__w"))
+    sides = F.transform("__w", lambda w, i: F.struct(i.alias("i"), F.concat(*[of_order(w, k) for k in range(1, n + 1)]).alias("x")))
+    flat = F.flatten(F.transform("__s", lambda s: F.transform(s["x"], lambda x: F.struct(s["i"].alias("i"), x["k"].alias("k"), x["g"].alias("g"), x["c"].alias("c")))))
+    rows = rows.select("id", sides.alias("__s")).select("id", flat.alias("__x"))
+    return rows.select("id", F.col("__x.i").alias("__side"), F.col("__x.k").alias("__order"), F.col("__x.g").alias("__terms"), F.col("__x.c").alias("__count"))
+
+
+def _row_consensus(n: int, sigma: float):
+    """Sum over references of a row's penalised cosines, from its packed n-grams and their inverse document frequencies."""
+
+    def one(side, order, gram, count, idf):
+        weight = count * idf
+        starts = np.flatnonzero(np.r_[True, side[1:] != side[:-1], True]) if len(side) else [0]
+        if not len(side) or side[0] != 0:
+            return 0.0
+        sums = lambda at, w: np.bincount(at, w, n + 1)
+        end = starts[1]
+        # the order is part of what is matched, though texts of different orders differ
+        by = np.lexsort((order[:end], gram[:end]))
+        held, held_order, held_weight = gram[:end][by], order[:end][by], weight[:end][by]
+        norm_h, length_h = np.sqrt(sums(order[:end], weight[:end] ** 2)), count[:end][order[:end] == 2].sum()
+        total = 0.0
+        for a, b in zip(starts[1:-1], starts[2:]):
+            g, o, w = gram[a:b], order[a:b], weight[a:b]
+            place = np.minimum(np.searchsorted(held, g), end - 1)
+            hit = (held[place] == g) & (held_order[place] == o)
+            if not hit.any():
+                continue
+            dot = sums(o[hit], np.minimum(held_weight[place[hit]], w[hit]) * w[hit])
+            both = norm_h * np.sqrt(sums(o, w * w))
+            value = np.divide(dot, both, out=dot.copy(), where=both != 0)
+            gap = float(length_h - count[a:b][o == 2].sum())
+            total += value.sum() * np.exp(-(gap * gap) / (2 * sigma * sigma))
+        return float(total)
+
+    @F.pandas_udf(T.DoubleType())
+    def consensus(side: pd.Series, order: pd.Series, gram: pd.Series, count: pd.Series, idf: pd.Series) -> pd.Series:
+        return pd.Series([one(*x) for x in zip(side, order, gram, count, idf)], dtype="float64")
+
+    return consensus
+
+
 def cider(df: DataFrame, n: int = 4, sigma: float = 6.0) -> DataFrame:
     """Consensus score: clipped cosine of tf-idf n-gram vectors with a length penalty, mean over orders and references,
-    times 10. Document frequency counts the rows whose references hold the n-gram."""
+    times 10. Document frequency counts the rows whose references hold the n-gram.
+
+    A row that has its id alone is counted and scored inside the row and looks its n-grams up by blocks; only rows with repeated
+    ids are shuffled by n-gram. N-grams are told apart by 64-bit hashes. Those of one row's references alone weigh as much as
+    unknown ones, so they are not in the table."""
     df = settle(df)
-    hyp = gram_counts(df, ["id"], tokens("hyp"), n)
-    refs = gram_counts(_refs_long(df), ["id", "r"], tokens("ref"), n)
-    hyp, refs = materialise(hyp), materialise(refs)
-    frequency = refs.select("id", "n", "gram").distinct().groupBy("n", "gram").agg(F.count(F.lit(1)).alias("df"))
-    frequency = materialise(frequency)
+    once, again = once_and_again(df.select("id", "hyp", "refs"), ["id"])
+    # a few files may hold all rows: the counting is dealt out by row
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialise(_packed_grams(once.repartition(spread), n))
+    referred = F.array_distinct(F.filter(F.col("__terms"), lambda g, i: F.get("__side", i) > 0))
+    seen = rows.select(F.explode(referred).alias("entry")).groupBy("entry").agg(F.count(F.lit(1)).alias("df"))
+    if again is not None:
+        more = materialise(_grams_by_id(again, n))
+        distinct = more.filter("side > 0").select("id", "entry").distinct().groupBy("entry").agg(F.count(F.lit(1)).alias("df"))
+        seen = seen.unionByName(distinct).groupBy("entry").agg(F.sum("df").alias("df"))
     log_rows = F.ln(Scalars(df, n=F.count(F.lit(1)))["n"].cast("double"))
+    table = materialise(seen.filter("df > 1").select("entry", (log_rows - F.ln(F.col("df").cast("double"))).alias("idf")))
+    found = look_up(rows, "__terms", table, "idf", "__idf", F.xxhash64("id", "__terms"))
+    idf = F.transform("__idf", lambda x: F.coalesce(x, F.col("__unknown")))
+    scored = found.withColumn("__unknown", log_rows).select("id", _row_consensus(n, sigma)("__side", "__order", "__terms", "__count", idf).alias("v"))
+    if again is not None:
+        scored = scored.unionByName(_consensus_by_id(more, table, log_rows, sigma))
+    out = df.select("id", F.size("refs").alias("__k")).join(scored.filter("id IS NOT NULL"), "id", "left")
+    return out.select("id", (F.coalesce("v", F.lit(0.0)) / n / F.col("__k") * 10).alias("cider"))
 
-    def weighted(counts: DataFrame, key: list[str]) -> DataFrame:
-        found = lookup_join(counts, frequency, ["n", "gram"], salt_on=key, ready=True)
-        idf = log_rows - F.ln(F.greatest(F.lit(1.0), F.coalesce(F.col("df"), F.lit(0)).cast("double")))
-        return found.select(*key, "n", "gram", "c", (F.col("c") * idf).alias("w"))
 
-    h, r = materialise(weighted(hyp, ["id"])), materialise(weighted(refs, ["id", "r"]))
+def _grams_by_id(df: DataFrame, n: int) -> DataFrame:
+    """Counts per (id, side, order, n-gram) of rows that share their ids."""
+    packed = _packed_grams(df, n)
+    item = F.explode(F.arrays_zip("__side", "__order", "__terms", "__count")).alias("x")
+    long = packed.select("id", item).select("id", F.col("x.__side").alias("side"), F.col("x.__order").alias("n"), F.col("x.__terms").alias("entry"), F.col("x.__count").alias("c"))
+    return long.groupBy("id", "side", "n", "entry").agg(F.sum("c").alias("c"))
+
+
+def _consensus_by_id(grams: DataFrame, table: DataFrame, log_rows: Column, sigma: float) -> DataFrame:
+    """(id, v): what ``_row_consensus`` gives, for n-grams counted over the rows of an id."""
+    weight = F.col("c") * F.coalesce("idf", log_rows)
+    known = materialise(lookup_join(grams, table, ["entry"], salt_on=["id", "side"], ready=True).select("id", "side", "n", "entry", "c", weight.alias("w")))
+    h, r = known.filter("side = 0").drop("side"), known.filter("side > 0").withColumnRenamed("side", "r")
 
     def sides(v: DataFrame, key: list[str], tag: str) -> DataFrame:
         return v.groupBy(*key, "n").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(f"norm_{tag}"))
@@ -233,7 +309,7 @@ def cider(df: DataFrame, n: int = 4, sigma: float = 6.0) -> DataFrame:
 
     dots = (
         h.withColumnRenamed("w", "wh").drop("c")
-        .join(r.withColumnRenamed("w", "wr").drop("c"), ["id", "n", "gram"])
+        .join(r.withColumnRenamed("w", "wr").drop("c"), ["id", "n", "entry"])
         .groupBy("id", "r", "n")
         .agg(F.sum(F.least("wh", "wr") * F.col("wr")).alias("dot"))
     )
@@ -243,9 +319,7 @@ def cider(df: DataFrame, n: int = 4, sigma: float = 6.0) -> DataFrame:
     per_ref = per_ref.join(lengths(h, ["id"], "h"), "id").join(lengths(r, ["id", "r"], "r"), ["id", "r"])
     delta = (F.col("len_h") - F.col("len_r")).cast("double")
     penalised = per_ref.select("id", (F.col("v") * F.exp(-(delta * delta) / F.lit(2 * sigma * sigma))).alias("v"))
-    totals = penalised.groupBy("id").agg(F.sum("v").alias("v"))
-    out = df.select("id", F.size("refs").alias("__k")).join(totals, "id", "left")
-    return out.select("id", (F.coalesce("v", F.lit(0.0)) / n / F.col("__k") * 10).alias("cider"))
+    return penalised.groupBy("id").agg(F.sum("v").alias("v"))
 
 
 def omitted(omit: Sequence[str], names: Sequence[str] = METRICS) -> list[str]:
@@ -266,6 +340,7 @@ def evaluate(df: DataFrame, omit: Sequence[str] = ()) -> DataFrame:
         parts.append(rouge_l(df).agg(F.avg("rouge_l").alias("rouge_l")))
     if "cider" in names:
         parts.append(cider(df).agg(F.avg("cider").alias("cider")))
+    parts = [materialise(p) for p in parts]  # one row each, worked out once for all its columns
     cols = [Scalars(p, **{c: F.first(c) for c in p.columns})[c].alias(c) for p in parts for c in p.columns if c in names]
     return df.sparkSession.range(1).select(*cols)
 
