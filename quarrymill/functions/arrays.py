@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from .numeric import as_col
@@ -11,6 +13,11 @@ def doubles(c) -> Column:
     return as_col(c).cast("array<double>")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that an array of one entry holds, so that it is worked out once and not for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def dot(a, b) -> Column:
     products = F.zip_with(doubles(a), doubles(b), lambda x, y: x * y)
     return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
@@ -26,8 +33,7 @@ def cosine(a, b) -> Column:
 
 def unit(a) -> Column:
     """Vector divided by its length; a zero vector stays as it is."""
-    size = norm(a)
-    return F.transform(doubles(a), lambda x: F.coalesce(F.try_divide(x, size), x))
+    return _once(norm(a), lambda size: F.transform(doubles(a), lambda x: F.coalesce(F.try_divide(x, size), x)))
 
 
 def argmax(a) -> Column:
@@ -37,11 +43,10 @@ def argmax(a) -> Column:
 
 def softmax(a) -> Column:
     """Shifted by the largest entry before the exponential."""
-    values = doubles(a)
-    top = F.array_max(values)
-    raised = F.transform(values, lambda x: F.exp(x - top))
-    total = F.aggregate(raised, F.lit(0.0), lambda s, x: s + x)
-    return F.transform(raised, lambda x: x / total)
+    raised = lambda v: _once(F.array_max(v), lambda top: F.transform(v, lambda x: F.exp(x - top)))
+    total = lambda e: F.aggregate(e, F.lit(0.0), lambda s, x: s + x)
+    shares = lambda e: _once(total(e), lambda t: F.transform(e, lambda x: x / t))
+    return _once(doubles(a), lambda v: _once(raised(v), shares))
 
 
 def one_hot_vector(y, n: int) -> Column:
