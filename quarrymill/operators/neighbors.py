@@ -48,6 +48,13 @@ def _slices(rows: int, wide: int):
     return [(i, min(rows, i + step)) for i in range(0, rows, step)]
 
 
+def _cut(parts: Iterator[pd.DataFrame], step: int) -> Iterator[pd.DataFrame]:
+    """Rows in pieces of at most ``step``, so that what a row makes of itself is never there for a whole batch."""
+    for part in parts:
+        for i in range(0, len(part), step):
+            yield part.iloc[i : i + step]
+
+
 def _best(q: np.ndarray, ids: np.ndarray, rows: np.ndarray, need: int):
     """(place in q, id, distance) of the ``need`` nearest rows of every query, ties by id. Products screen, differences decide."""
     out = []
@@ -172,11 +179,15 @@ def _nearest_vectors(queries: DataFrame, base: DataFrame, need: int) -> DataFram
     drawn = base.orderBy(F.xxhash64("id"), "id").limit(math.isqrt(n - 1) + 1).collect()
     plan = _Plan(_matrix([r["vec"] for r in drawn]))
 
+    dim, most = plan.pivots.shape[1], CELLS
+
+    def cut(parts: Iterator[pd.DataFrame], wide: int) -> Iterator[pd.DataFrame]:
+        return _cut(parts, max(1, most // wide))
+
     def assign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            if len(part):
-                d = plan.distances(part["vec"])
-                yield part.assign(cell=d.argmin(axis=1).astype("int32"), far=d.min(axis=1))
+        for part in cut(parts, len(plan.pivots) + dim):
+            d = plan.distances(part["vec"])
+            yield part.assign(cell=d.argmin(axis=1).astype("int32"), far=d.min(axis=1))
 
     cells = materialise(base.mapInPandas(assign, "id long, vec array<double>, cell int, far double"))
     pivots = len(plan.pivots)
@@ -191,16 +202,14 @@ def _nearest_vectors(queries: DataFrame, base: DataFrame, need: int) -> DataFram
             yield pd.DataFrame({"shard": plan.home(part["cell"].to_numpy(), part["id"].to_numpy()), "id": part["id"], "vec": part["vec"]})
 
     def call(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            if len(part):
-                d = plan.distances(part["vec"])
-                d[:, plan.size == 0] = np.inf
-                yield pd.DataFrame({"shard": plan.home(d.argmin(axis=1), part["id"].to_numpy()), "id": part["id"], "vec": part["vec"]})
+        for part in cut(parts, len(plan.pivots) + dim):
+            d = plan.distances(part["vec"])
+            d[:, plan.size == 0] = np.inf
+            yield pd.DataFrame({"shard": plan.home(d.argmin(axis=1), part["id"].to_numpy()), "id": part["id"], "vec": part["vec"]})
 
     def go_on(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            if not len(part):
-                continue
+        # a query may have to go on to every shard, with its vector
+        for part in cut(parts, len(plan.pivots) + plan.shards * (dim + 1)):
             row, shard = plan.live(plan.distances(part["vec"]), part["bound"].to_numpy("f8"))
             other = shard != part["shard"].to_numpy()[row]
             row, shard = row[other], shard[other]
