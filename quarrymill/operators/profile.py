@@ -18,6 +18,10 @@ from .columns import distinct_counts, numeric_cols
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
+#: Ranks that a task gathers before it adds up the products of their rows.
+HELD_RANKS = 1 << 19
+
+
 def _long(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
     return df.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.*")
@@ -160,6 +164,8 @@ def _shared_rank_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     ranked = lookup_join(long.select("rid", "i", "value"), table, ["i", "value"], "inner", ["rid"], counts.select("i", "value", "n"))
     schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 
+    most = HELD_RANKS
+
     def gather(batches):
         import pyarrow as pa
 
@@ -183,7 +189,7 @@ def _shared_rank_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         for batch in batches:
             waiting.append([batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).flatten().to_numpy().reshape(-1, m)])
             held += batch.num_rows
-            if held * m < 1 << 22:
+            if held * m < most:
                 continue
             now = [np.concatenate(x) for x in zip(*waiting)]
             whole = int(np.searchsorted(now[0], now[0][-1]))  # the last row may go on
