@@ -74,6 +74,8 @@ CLASSIFIERS = {
     "adaboost": AdaBoost,
     "factorization_machine": FMClassifier,
 }
+#: Fits that hold their rows as trees see them, and rows of a partition for them.
+TREES, TREE_ROWS = {"decision_tree", "random_forest", "boosted_trees"}, 1 << 19
 BINARY_ONLY = {"linear_svm", "sgd_hinge", "boosted_trees", "factorization_machine"}
 REGRESSORS = {
     "linear": (LinearRegression, {}),
@@ -98,13 +100,26 @@ def make_classifier(name: str, y: str, params: Mapping | None = None, classes: i
     return OneVsRest(classifier=est, labelCol=y, featuresCol="features") if classes > 2 and name in BINARY_ONLY else est
 
 
+def dealt_for_trees(name: str, df: DataFrame, y: str, params: Mapping | None = None) -> DataFrame:
+    """Rows for a fit by trees, whose tasks hold their rows in memory for every pass: a large table is dealt to partitions of at most
+    about ``TREE_ROWS``, whatever the files. Other fits take the rows as they are."""
+    if name not in TREES:
+        return df
+    n = df.count()
+    if n <= TREE_ROWS:
+        return df
+    parts = max(-(-n // TREE_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    named = [v for v in dict(params or {}).values() if isinstance(v, str) and v in df.columns]
+    return df.select(*dict.fromkeys(["features", y, *named])).repartition(parts)
+
+
 def fit_classifier(name: str, df: DataFrame, y: str, params: Mapping | None = None, classes: int = 2):
-    return make_classifier(name, y, params, classes).fit(df)
+    return make_classifier(name, y, params, classes).fit(dealt_for_trees(name, df, y, params))
 
 
 def fit_regressor(name: str, df: DataFrame, y: str, params: Mapping | None = None):
     kind, fixed = REGRESSORS[name]
-    return kind(labelCol=y, featuresCol="features", **{**fixed, **dict(params or {})}).fit(df)
+    return kind(labelCol=y, featuresCol="features", **{**fixed, **dict(params or {})}).fit(dealt_for_trees(name, df, y, params))
 
 
 def class_probs(model, df: DataFrame, name: str = "probs") -> DataFrame:
