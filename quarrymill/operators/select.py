@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from ..plans.ordering import running_sums
+from ..plans.session import materialise
 from .columns import distinct_counts, numeric_cols
 from .grams import centred, gram, lars_path
 from .profile import correlated_pairs, missing_report, one_hot_correlated_pairs, unique_report
@@ -268,7 +269,8 @@ def elimination_path(df: DataFrame, y: str, cols: Sequence[str], least: int = 1,
 
 def rfe(df: DataFrame, y: str, cols: Sequence[str], n: int, estimator=None, step: int = 1) -> list[str]:
     """Fit, drop the least important columns, repeat until ``n`` are left."""
-    return list(elimination_path(df, y, cols, n, estimator, step)[-1][0])
+    rows = materialise(df.select(*dict.fromkeys([y, *cols])))  # every fit reads them several times
+    return list(elimination_path(rows, y, cols, n, estimator, step)[-1][0])
 
 
 def rfe_grid(df: DataFrame, key: str, y: str, cols: Sequence[str], evaluator, folds: int = 3, least: int = 1, estimator=None, step: int = 1):
@@ -277,17 +279,18 @@ def rfe_grid(df: DataFrame, key: str, y: str, cols: Sequence[str], evaluator, fo
     ties) is then reached on all rows. ``table``: n, score, deviation, chosen."""
     from .split import add_fold
 
-    rows = add_fold(df, key, folds, y).cache()
+    rows = materialise(df.select(*dict.fromkeys([key, y, *cols])))  # dealing out folds and every fit read them several times
+    rows = materialise(add_fold(rows, key, folds, y))
     scores: dict[int, list[float]] = {}
     for fold in range(folds):
         test = rows.filter(F.col("fold") == fold)
         for kept, model in elimination_path(rows.filter(F.col("fold") != fold), y, cols, least, estimator, step):
             scores.setdefault(len(kept), []).append(evaluator.evaluate(model.transform(assemble(test, kept))))
-    rows.unpersist()
     sign = 1 if evaluator.isLargerBetter() else -1
     best = min(scores, key=lambda n: (-sign * np.mean(scores[n]), n))
     table = [(n, float(np.mean(s)), float(np.std(s)), int(n == best)) for n, s in sorted(scores.items())]
-    return rfe(df, y, cols, best, estimator, step), df.sparkSession.createDataFrame(table, "n int, score double, deviation double, chosen int")
+    chosen = list(elimination_path(rows, y, cols, best, estimator, step)[-1][0])
+    return chosen, df.sparkSession.createDataFrame(table, "n int, score double, deviation double, chosen int")
 
 
 def pca_block(df: DataFrame, cols: Sequence[str], k: int, prefix: str = "pc") -> DataFrame:
