@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+import math
 
 import numpy as np
 import pandas as pd
@@ -198,11 +199,17 @@ def active_units(df: DataFrame, vector: str, delta: float = 0.01) -> DataFrame:
     return out.withColumn("active", (F.col("variance") >= delta).cast("int"))
 
 
+#: Rows of a block of codes, densities that a task holds at once, and the error of a squared distance that products may have.
+MI_ROWS, MI_CELLS, MI_ERROR = 1 << 14, 1 << 20, 1e-9
+
+
 def gaussian_mi(df: DataFrame, key: str, mu: str, logvar: str, z: str | None = None, block: int = 1024) -> DataFrame:
     """Mutual information of Gaussian codes: mean of ``ln q(z|x)`` minus the mean of ``ln`` of the aggregate posterior.
 
-    The aggregate posterior of each sample sums over all codes by definition. Samples and codes are cut into blocks, a
-    task meets two blocks and returns one maximum and one sum per sample, never a pair.
+    The aggregate posterior of each sample sums over all codes by definition. Samples and codes are cut into blocks of at least
+    ``block`` and at most about ``MI_ROWS`` rows, as many as keep the tasks busy: every row travels once to each block. A task meets
+    two blocks and returns one maximum and one sum per sample, never a pair. Squares come from matrix products, or from differences
+    where products would not be right to ``MI_ERROR``.
     """
     codes = df.select(
         F.col(key).alias("id"),
@@ -212,22 +219,40 @@ def gaussian_mi(df: DataFrame, key: str, mu: str, logvar: str, z: str | None = N
     )
     codes = materialise(codes)
     n = codes.count()
-    blocks = max(1, -(-n // block))
+    busy = 2 * math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1
+    blocks = max(1, min(-(-n // block), max(-(-n // MI_ROWS), busy)))
     place = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = codes.select("id", "z", place.alias("zb")).withColumn("mb", every)
     right = codes.select("id", "mu", "lv", place.alias("mb")).withColumn("zb", every)
 
+    most, error = MI_CELLS, MI_ERROR
+
     def densities(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"id": np.array([], dtype="int64"), "top": [], "total": []})
         mus, lvs = np.stack(b["mu"].to_numpy()), np.stack(b["lv"].to_numpy())
         fixed = -0.5 * (mus.shape[1] * np.log(2 * np.pi) + lvs.sum(axis=1))
-        tops, totals = [], []
-        for row in a["z"]:
-            d = fixed - 0.5 * (((np.asarray(row)[None, :] - mus) ** 2) / np.exp(lvs)).sum(axis=1)
-            tops.append(d.max())
-            totals.append(np.exp(d - d.max()).sum())
+        z, sharp = np.stack(a["z"].to_numpy()), np.exp(-lvs)
+        centre = mus.mean(axis=0)
+        near, far = z - centre, mus - centre
+        # the products' terms are at most this large, and rounding is a share of them
+        largest = 4 * mus.shape[1] * (max(np.abs(near).max(initial=0), np.abs(far).max(initial=0)) ** 2) * sharp.max(initial=0)
+        exact = not largest * np.finfo(float).eps < error
+        pull, own = (far * sharp).T, (far * far * sharp).sum(axis=1)
+        tops, totals = np.empty(len(z)), np.empty(len(z))
+        step = max(1, most // (mus.size if exact else len(mus)))
+        for i in range(0, len(z), step):
+            x = near[i : i + step]
+            if exact:
+                d = ((z[i : i + step, None, :] - mus[None, :, :]) ** 2 * sharp[None, :, :]).sum(axis=2)
+            else:
+                d = np.maximum((x * x) @ sharp.T - 2 * (x @ pull) + own, 0.0)
+            d *= -0.5
+            d += fixed
+            top = d.max(axis=1)
+            d -= top[:, None]
+            tops[i : i + step], totals[i : i + step] = top, np.exp(d, out=d).sum(axis=1)
         return pd.DataFrame({"id": a["id"].to_numpy(), "top": tops, "total": totals})
 
     parts = left.groupBy("zb", "mb").cogroup(right.groupBy("zb", "mb")).applyInPandas(densities, "id long, top double, total double")
