@@ -212,6 +212,33 @@ def test_lm_tells_rare_words_apart(spark):
     assert got[1000].score > got[1001].score + 10
 
 
+def test_lm_memory_a_token_and_python_processes_a_task(spark):
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    n = 100_000
+    model = lm_score.LogBilinear(500)
+    before, last, ids = rng.integers(0, 500, (3, n))
+    for work, most in ((lambda: model.step(before, last, ids, np.ones(n, "f4"), np.zeros(len(model.m), "f4")), 400), (lambda: model.log_prob(before, last, ids), 250)):
+        tracemalloc.start()
+        work()
+        assert tracemalloc.get_traced_memory()[1] / n < most
+        tracemalloc.stop()
+    rows = [(i, "a b c d " * 20) for i in range(50)]
+    out = lm_score.score_texts(spark.createDataFrame(rows, SCHEMA), F.lit(True))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("FlatMapGroupsInPandas") == 1  # of texts; of sums, whose rows need no second process
+
+
+def test_lm_ids_before():
+    import numpy as np
+
+    two, one = lm_score._before(np.array([3, 4, 5, 9, 9, 3, 9, 4, 4, 9]), 10)  # an empty text is an end alone
+    assert one.tolist() == [9, 3, 4, 5, 9, 9, 3, 9, 4, 4] and two.tolist() == [9, 9, 3, 4, 9, 9, 9, 9, 9, 4]
+
+
 def test_log_bilinear_is_normalised():
     import numpy as np
 
