@@ -81,7 +81,12 @@ def strip_accents(c) -> Column:
 
 
 def _letters_only(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, "([.!?])", " $1"), "[^a-zA-Z.!?]+", " ")
+    # by plain replacements where they do: a pattern that is met at every gap between words takes most of the time
+    for mark in ".!?":
+        c = F.replace(c, F.lit(mark), F.lit(" " + mark))
+    other = "".join(x for x in map(chr, range(128)) if not re.match("[a-zA-Z.!? ]", x))
+    c = F.translate(c, other, " " * len(other))
+    return F.regexp_replace(F.regexp_replace(c, "[^\\x00-\\x7F]+", " "), " {2,}", " ")
 
 
 def normalize_ascii(c) -> Column:
@@ -92,10 +97,18 @@ def normalize_ascii(c) -> Column:
 MARKS = "[̀-ͯ҃-֑҇-ֽً-ٟ᪰-᫿᷀-᷿⃐-⃰︠-︯]"
 
 
+#: Runs of so many characters that need no decomposition are passed over before a text is looked through for those that do.
+WIDE_GAP = 1024
+
+
+def _char_class(ranges) -> str:
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
 @cache
-def _bare_letters() -> tuple[str, str, str]:
-    """Characters that decompose into one character and dropped marks, what is left of them, and a pattern of those of which two or
-    more are left. Dropped marks stand at the end of the first, without a counterpart."""
+def _bare_letters() -> tuple[str, str, str, str]:
+    """Characters that decompose into one character and dropped marks, what is left of them, a pattern of those of which two or
+    more are left, and one of the wide gaps between these. Dropped marks stand at the end of the first, without a counterpart."""
     one, left, more, gone = [], [], [], []
     for code in (c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000):
         letter = chr(code)
@@ -114,15 +127,18 @@ def _bare_letters() -> tuple[str, str, str]:
             ranges[-1][1] = code
         else:
             ranges.append([code, code])
-    return "".join(one + gone), "".join(left), "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+    edges = [-1, *(code for pair in ranges for code in pair), sys.maxunicode + 1]
+    gaps = [(a + 1, b - 1) for a, b in zip(edges[::2], edges[1::2]) if b - a > WIDE_GAP]
+    return "".join(one + gone), "".join(left), _char_class(ranges), _char_class(gaps)
 
 
 def strip_marks(c) -> Column:
     """Canonical decomposition with all combining marks dropped, for letters outside the fixed table. Texts with characters of
     which more than one is left, or with marks that stay and may change places, are decomposed whole; all others stay in the JVM."""
-    one, left, more = _bare_letters()
+    one, left, more, plain = _bare_letters()
     text = as_col(c)
-    hard = text.rlike(more)
+    # the pattern is long and slow, so it sees only what is left without the characters of the gaps
+    hard = F.regexp_replace(text, plain + "+", "").rlike(more)
     return F.when(hard, _decomposed(F.when(hard, text))).otherwise(F.translate(text, one, left))
 
 
